@@ -128,13 +128,12 @@ def daily_backlog(stg: DataFrame, targets: DataFrame, areas: DataFrame, end) ->
     )
     by_day = Window.partitionBy(*pair).orderBy("day")
     so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
-    until = F.coalesce(F.date_sub(F.lead("day").over(by_day), 1), last)
     running = per_day.select(
         *pair, "day", "created", F.sum("opened").over(so_far).alias("open_requests"),
         F.sum("day_sum").over(so_far).alias("day_sum"),
         F.sum("late").over(so_far).alias("requests_older_than_sla"),
-        F.explode(F.sequence(F.col("day"), until)).alias("snapshot_date"),
-    )
+        F.coalesce(F.date_sub(F.lead("day").over(by_day), 1), last).alias("until"),
+    ).withColumn("snapshot_date", F.explode(F.sequence("day", "until")))
     today = F.datediff("snapshot_date", F.lit("1970-01-01").cast("date")).cast("bigint")
     age_total = F.col("open_requests") * today - F.col("day_sum")
     return (

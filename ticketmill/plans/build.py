@@ -68,15 +68,15 @@ FACTS = {
 }
 
 
-def refresh_fact(spark: SparkSession, root: str, name: str, stg: DataFrame,
+def refresh_fact(spark: SparkSession, path: str, name: str, stg: DataFrame,
                  dim_request_type: DataFrame, full_refresh: bool = False,
                  layout: table.Layout | None = None) -> int:
-    """Rebuild a fact, or upsert the rows changed since its stored maximum."""
+    """Rebuild the fact ``name`` at ``path``, or upsert the rows changed since its stored
+    maximum; the number of rows written or replaced."""
     build, pick = {
         "fct_service_requests": (facts.fct_service_requests, facts.modified_slice),
         "fct_sla_performance": (facts.fct_sla_performance, facts.closed_slice),
     }[name]
-    path = f"{root}/{name}"
     whole = build(stg, dim_request_type)
     new = table.snapshot(spark, path) is None
     table.create(spark, path, whole.schema, layout or FACTS[name])
@@ -100,7 +100,7 @@ def build_models(spark: SparkSession, root: str, tickets: DataFrame, seeds: Seed
     holiday_dates = holiday_dates if holiday_dates is not None else dims.holidays(spark)
     d = write_dimensions(spark, run, stg, seeds, calendar, holiday_dates)
     for name in FACTS:
-        refresh_fact(spark, root, name, stg, d.request_type, full_refresh)
+        refresh_fact(spark, f"{root}/{name}", name, stg, d.request_type, full_refresh)
     fct = table.read(spark, f"{root}/fct_service_requests")
     sla = table.read(spark, f"{root}/fct_sla_performance")
     operational = marts.mart_operational(fct, d.geography, d.request_type, d.department,

@@ -79,7 +79,7 @@ def raw_records(orders: DataFrame, customer: DataFrame) -> DataFrame:
         return F.when(when, "").otherwise(otherwise)
 
     fields = {
-        "sr_number": F.when(n % 5 == 0, F.concat(F.lit("\t"), S.KEY, F.lit(" ")))
+        "sr_number": F.when(n % 5 == 0, F.concat(F.lit("\t"), S.KEY, F.lit("\u2003")))
         .otherwise(F.col(S.KEY)),
         "status": F.col("current_status"),
         "created_date": text_time("created_date"),

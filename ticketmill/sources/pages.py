@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ticketmill import schemas as S
 
@@ -24,9 +27,12 @@ def write_raw_pages(raw: DataFrame, path: str, page_rows: int = 50_000) -> None:
 def date_range(df: DataFrame, field: str, start, end) -> DataFrame:
     """Half-open range ``start <= field < end``.
 
-    Raw fields are ISO text, whose text order is time order, so the same comparison serves
-    typed columns and unparsed records (and there runs inside the JSON reader).
+    Unparsed records are compared as text, which runs inside the JSON reader: for ISO text
+    that is time order once the bounds carry no trailing zeros, as a record may or may not
+    spell its fraction out.
     """
     kind = df.schema[field].dataType
+    if isinstance(kind, StringType):
+        start, end = (re.sub(r"\.?0*$", "", b) if "." in b else b for b in (start, end))
     low, high = F.lit(start).cast(kind), F.lit(end).cast(kind)
     return df.where((F.col(field) >= low) & (F.col(field) < high))
