@@ -41,13 +41,13 @@ def latest_wins(df: DataFrame, key: str = S.KEY, version: str = S.VERSION,
                 tiebreak: Sequence[str] | None = None) -> DataFrame:
     """One row per key, newest version first; ties are settled by ``tiebreak`` (descending).
 
-    By default every other column takes part in the tie, so the result never depends on how
+    By default a hash of the whole row settles ties, so the result does not depend on how
     rows were distributed. ``row_number() = 1`` is kept visible to the optimizer: it limits
     each group to one row before the shuffle, so a key with a third of all rows sends only
     one row per input task.
     """
-    ties = [c for c in df.columns if c not in (key, version)] if tiebreak is None else tiebreak
-    order = [F.desc_nulls_last(c) for c in (version, *ties)]
+    ties = [F.xxhash64(*df.columns)] if tiebreak is None else [F.col(c) for c in tiebreak]
+    order = [c.desc_nulls_last() for c in (F.col(version), *ties)]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 

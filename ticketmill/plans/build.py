@@ -69,20 +69,23 @@ FACTS = {
 
 
 def refresh_fact(spark: SparkSession, path: str, name: str, stg: DataFrame,
-                 dim_request_type: DataFrame, full_refresh: bool = False,
+                 star: Dimensions, full_refresh: bool = False,
                  layout: table.Layout | None = None) -> int:
     """Rebuild the fact ``name`` at ``path``, or upsert the rows changed since its stored
     maximum; the number of rows written or replaced."""
-    build, pick = {
-        "fct_service_requests": (facts.fct_service_requests, facts.modified_slice),
-        "fct_sla_performance": (facts.fct_sla_performance, facts.closed_slice),
-    }[name]
-    whole = build(stg, dim_request_type)
+    if name == "fct_service_requests":
+        pick, model, lookups = (facts.modified_slice, facts.fct_service_requests,
+                                (star.request_type, star.department, star.status))
+    else:
+        pick, model, lookups = (facts.closed_slice, facts.fct_sla_performance,
+                                (star.request_type, star.department))
+    whole = model(stg, *lookups)
     new = table.snapshot(spark, path) is None
     table.create(spark, path, whole.schema, layout or FACTS[name])
     if new or full_refresh:
         return table.overwrite(spark, path, whole)
-    return upsert_into(spark, path, build(pick(stg, table.read(spark, path)), dim_request_type))
+    changed = pick(stg, table.read(spark, path))
+    return upsert_into(spark, path, model(changed, *lookups))
 
 
 def build_models(spark: SparkSession, root: str, tickets: DataFrame, seeds: Seeds, as_of=None,
@@ -100,7 +103,7 @@ def build_models(spark: SparkSession, root: str, tickets: DataFrame, seeds: Seed
     holiday_dates = holiday_dates if holiday_dates is not None else dims.holidays(spark)
     d = write_dimensions(spark, run, stg, seeds, calendar, holiday_dates)
     for name in FACTS:
-        refresh_fact(spark, f"{root}/{name}", name, stg, d.request_type, full_refresh)
+        refresh_fact(spark, f"{root}/{name}", name, stg, d, full_refresh)
     fct = table.read(spark, f"{root}/fct_service_requests")
     sla = table.read(spark, f"{root}/fct_sla_performance")
     operational = marts.mart_operational(fct, d.geography, d.request_type, d.department,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ticketmill import schemas as S
 from ticketmill.functions import dates
 from ticketmill.operators import ingest, wap
-from ticketmill.plans.publish import merge_into
+from ticketmill.plans.publish import merge_into, written
 from ticketmill.sources import pages, table
 
 ISO = "%Y-%m-%dT%H:%M:%S.000"
@@ -114,8 +114,7 @@ def load_chunks(spark: SparkSession, lake: Lake, raw: DataFrame, start: date, en
 
 
 def load_at_once(spark: SparkSession, lake: Lake, raw: DataFrame, start: date, end: date,
-                 chunk_months: int = 1, date_field: str = "created_date",
-                 work_dir: str | None = None) -> LoadResult:
+                 chunk_months: int = 1, date_field: str = "created_date") -> LoadResult:
     """All chunks in one pass over the pages, with the audit grouped by chunk.
 
     Chunks that hold an unparsable field or fail the audit are left out and reported, the
@@ -126,9 +125,7 @@ def load_at_once(spark: SparkSession, lake: Lake, raw: DataFrame, start: date, e
     chunk = chunk_number(F.to_date(F.substring(date_field, 1, 10)), start, chunk_months)
     ranged = pages.date_range(raw, date_field, low, high).withColumn("_chunk", chunk)
     typed = ingest.lenient_tickets(ranged, keep=("_chunk",))
-    path = work_dir or f"{lake.root}/work/{datetime.now():%Y%m%d%H%M%S%f}"
-    typed.write.partitionBy("_chunk").parquet(path)
-    staged = spark.read.parquet(path)
+    staged = written(spark, typed)
     verdicts = wap.audit_by(staged, "_chunk", errors="parse_errors")
     bad = sorted(r["_chunk"] for r in verdicts.where(~F.col("passed")).collect())
     plan = plan_chunks(start, end, chunk_months)

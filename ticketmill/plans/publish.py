@@ -14,7 +14,7 @@ from ticketmill.session import shared_dir
 from ticketmill.sources import table
 
 
-def _written(spark: SparkSession, df: DataFrame) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame) -> DataFrame:
     """Cut the lineage with a table in the shared folder, so later steps agree on the rows."""
     path = f"{shared_dir(spark)}/ticketmill/work-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -44,7 +44,7 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame,
     incoming = latest_wins(source).join(hits, S.KEY, "left").withColumn(
         "action",
         F.when(F.col("part").isNull(), "insert").when(newer, "update").otherwise("keep"))
-    incoming = _written(spark, incoming)
+    incoming = written(spark, incoming)
     # one row per action and part: at most three per month or day of data
     found = incoming.groupBy("action", "part").count().collect()
     inserted = sum(r["count"] for r in found if r["action"] == "insert")
@@ -79,7 +79,7 @@ def upsert_into(spark: SparkSession, root: str, rows: DataFrame, key: str = S.KE
     stored in; they are rewritten without the replaced keys.
     """
     base = table.snapshot(spark, root)
-    rows = _written(spark, rows.select(*base.schema.names))
+    rows = written(spark, rows.select(*base.schema.names))
     total = rows.count()
     if not total:
         return 0

@@ -144,7 +144,7 @@ def s10_build_models(b: Bed) -> DataFrame:
   WHERE created_date BETWEEN DATE '1998-02-10' AND DATE '1998-04-20'""")
 def s11_partition_layout(b: Bed) -> DataFrame:
     root = b.scratch("fct")
-    build.refresh_fact(b.spark, root, "fct_service_requests", b.stg, b.dims.request_type)
+    build.refresh_fact(b.spark, root, "fct_service_requests", b.stg, b.dims)
     some = table.read(b.spark, root, low="1998-02-10", high="1998-04-20")
     return some.where("created_date between '1998-02-10' and '1998-04-20'").select(
         S.KEY, "created_date", "request_type_id")

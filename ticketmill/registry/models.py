@@ -221,7 +221,7 @@ def f07_incremental_fact(b: Bed) -> DataFrame:
     path = b.scratch("fct")
     earlier = b.stg.where("last_modified_date < '1999-07-01'")
     for tickets in (earlier, b.stg):
-        build.refresh_fact(b.spark, path, "fct_service_requests", tickets, b.dims.request_type)
+        build.refresh_fact(b.spark, path, "fct_service_requests", tickets, b.dims)
     return table.read(b.spark, path)
 
 
@@ -254,7 +254,7 @@ def f12_incremental_sla(b: Bed) -> DataFrame:
     path = b.scratch("sla")
     earlier = b.stg.where("closed_date < '2000-01-01'")
     for tickets in (earlier, b.stg):
-        build.refresh_fact(b.spark, path, "fct_sla_performance", tickets, b.dims.request_type)
+        build.refresh_fact(b.spark, path, "fct_sla_performance", tickets, b.dims)
     return table.read(b.spark, path)
 
 

@@ -11,6 +11,7 @@ import uuid
 from datetime import date
 from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -141,8 +142,10 @@ class Bed:
     def scratch(self, name: str) -> str:
         return f"{self.root}/{name}-{uuid.uuid4().hex}"
 
-    def rows(self, data: list, schema: str) -> DataFrame:
-        return self.spark.createDataFrame(data, schema)
+    def rows(self, data: list[tuple], schema: str) -> DataFrame:
+        names = [field.split()[0] for field in schema.split(", ")]
+        return self.spark.createDataFrame(
+            pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in data]))
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -211,11 +214,12 @@ class Bed:
 
     @cached_property
     def fct(self) -> DataFrame:
-        return facts.fct_service_requests(self.stg, self.dims.request_type)
+        return facts.fct_service_requests(self.stg, self.dims.request_type, self.dims.department,
+                                          self.dims.status)
 
     @cached_property
     def sla(self) -> DataFrame:
-        return facts.fct_sla_performance(self.stg, self.dims.request_type)
+        return facts.fct_sla_performance(self.stg, self.dims.request_type, self.dims.department)
 
     @cached_property
     def ops(self) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ticketmill import schemas as S
@@ -37,7 +39,8 @@ def _seed(spark: SparkSession, path: str | None, name: str, schema: str) -> Data
     """A packaged seed is read on the driver, as executors may not have the file."""
     if path is not None:
         return read_seed(spark, path, schema)
-    lines = (PACKAGED / name).read_text(encoding="utf-8").splitlines()
-    rows = [line for line in lines if not line.startswith("#")][1:]
-    text = spark.createDataFrame([(r,) for r in rows], "value string")
-    return text.selectExpr(f"from_csv(value, '{schema}') as r").select("r.*")
+    with (PACKAGED / name).open(encoding="utf-8", newline="") as lines:
+        rows = list(csv.DictReader(line for line in lines if not line.startswith("#")))
+    text = spark.createDataFrame(pa.Table.from_pylist(rows))
+    wanted = [field.split() for field in schema.split(", ")]
+    return text.select(*[text[column].cast(kind) for column, kind in wanted])
