@@ -61,11 +61,10 @@ def with_weekend(calendar: DataFrame) -> DataFrame:
 
 
 def with_holiday(calendar: DataFrame, holiday_dates: DataFrame) -> DataFrame:
-    """Holidays are at most one row per calendar day, so they are broadcast with the calendar."""
     marked = holiday_dates.select(F.col("holiday_date").alias("date_day")).distinct()
     marked = marked.withColumn("_holiday", F.lit(True))
     return (
-        calendar.join(F.broadcast(marked), "date_day", "left")
+        calendar.join(marked, "date_day", "left")
         .withColumn("is_illinois_holiday", F.col("_holiday").isNotNull())
         .drop("_holiday")
     )

@@ -147,8 +147,8 @@ def drill_down(fct: DataFrame, geography: DataFrame, request_type: DataFrame,
                area: str, request: str) -> DataFrame:
     """Ticket rows of one area and request type.
 
-    The names are looked up on the small sides first; inner broadcast joins then filter the
-    fact as it is scanned.
+    The names are looked up on the small sides; joined as sized lookups, they filter the
+    fact while it is scanned.
     """
     areas = geography.where(F.col("community_area_name") == area)
     types = request_type.where(F.col("request_type_name") == request)
@@ -160,5 +160,9 @@ def drill_down(fct: DataFrame, geography: DataFrame, request_type: DataFrame,
 
 
 def rows_by_year(tickets: DataFrame) -> DataFrame:
-    """Ticket counts per creation year; the row with a null year is the total."""
-    return tickets.rollup("created_year").agg(F.count(F.lit(1)).alias("row_count"))
+    """Ticket counts per creation year; the row with a null year is the total.
+
+    The roll-up adds up counted years, as rolling up tickets would double every row first.
+    """
+    years = tickets.groupBy("created_year").agg(F.count(F.lit(1)).alias("n"))
+    return years.rollup("created_year").agg(F.sum("n").alias("row_count"))

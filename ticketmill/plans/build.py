@@ -84,7 +84,9 @@ def refresh_fact(spark: SparkSession, path: str, name: str, stg: DataFrame,
     table.create(spark, path, whole.schema, layout or FACTS[name])
     if new or full_refresh:
         return table.overwrite(spark, path, whole)
-    changed = pick(stg, table.read(spark, path))
+    # the newest closing date lies in the newest part; a newest change may lie in any part
+    parts = table.newest_part(spark, path) if pick is facts.closed_slice else None
+    changed = pick(stg, table.read(spark, path, parts))
     return upsert_into(spark, path, model(changed, *lookups))
 
 

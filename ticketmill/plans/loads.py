@@ -125,12 +125,12 @@ def load_at_once(spark: SparkSession, lake: Lake, raw: DataFrame, start: date, e
     chunk = chunk_number(F.to_date(F.substring(date_field, 1, 10)), start, chunk_months)
     ranged = pages.date_range(raw, date_field, low, high).withColumn("_chunk", chunk)
     typed = ingest.lenient_tickets(ranged, keep=("_chunk",))
-    staged = written(spark, typed)
-    verdicts = wap.audit_by(staged, "_chunk", errors="parse_errors")
-    bad = sorted(r["_chunk"] for r in verdicts.where(~F.col("passed")).collect())
+    with written(spark, typed) as staged:
+        verdicts = wap.audit_by(staged, "_chunk", errors="parse_errors")
+        bad = sorted(r["_chunk"] for r in verdicts.where(~F.col("passed")).collect())
+        good = staged.where(~F.col("_chunk").isin(bad)) if bad else staged
+        rows = merge_into(spark, lake.main, good.select(*S.TYPED_COLUMNS))["affected"]
     plan = plan_chunks(start, end, chunk_months)
-    good = staged.where(~F.col("_chunk").isin(bad)) if bad else staged
-    rows = merge_into(spark, lake.main, good.select(*S.TYPED_COLUMNS))["affected"]
     failures = [(f"{plan[i][0]}T00:00:00.000", f"{plan[i][1]}T00:00:00.000", "audit failed")
                 for i in bad]
     return LoadResult(rows, len(bad), failures)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,17 +17,31 @@ from ticketmill.session import shared_dir
 from ticketmill.sources import table
 
 
-def written(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Cut the lineage with a table in the shared folder, so later steps agree on the rows."""
+@contextmanager
+def written(spark: SparkSession, df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a table in the shared folder, deleted on exit.
+
+    Cutting the lineage this way makes all later steps agree on the rows, also when an
+    executor is lost in between.
+    """
     path = f"{shared_dir(spark)}/ticketmill/work-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    try:
+        df.write.parquet(path)
+        yield spark.read.parquet(path)
+    finally:
+        table.delete(spark, path)
 
 
-def _hits(stored: DataFrame, keys: DataFrame, n_keys: int, key: str) -> DataFrame:
-    """Stored rows of the given keys. A small load is broadcast, so that the stored keys are
-    scanned where they lie; a large one shuffles both key columns."""
-    return stored.join(broadcast_if(keys.select(key), n_keys), key, "left_semi")
+def _hits(stored: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Stored rows of the given keys.
+
+    The keys' range goes into the scan, where stored keys are sorted and row groups outside
+    it are skipped. A small load is broadcast, so that stored keys are read where they lie; a
+    large one shuffles both key columns.
+    """
+    low, high, n = keys.agg(F.min(key), F.max(key), F.count(F.lit(1))).first()
+    near = stored.where(F.col(key).between(low, high))
+    return near.join(broadcast_if(keys.select(key), n), key, "left_semi")
 
 
 def merge_into(spark: SparkSession, root: str, source: DataFrame,
@@ -39,37 +56,37 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame,
     base = table.snapshot(spark, root)
     stored = table.read(spark, root, with_part=True).select(
         S.KEY, F.col(S.VERSION).alias("_version"), "part")
-    hits = _hits(stored, source, source.count(), S.KEY)
     newer = F.col(S.VERSION) > F.col("_version")
-    incoming = latest_wins(source).join(hits, S.KEY, "left").withColumn(
+    sorted_out = latest_wins(source).join(_hits(stored, source, S.KEY), S.KEY, "left").withColumn(
         "action",
         F.when(F.col("part").isNull(), "insert").when(newer, "update").otherwise("keep"))
-    incoming = written(spark, incoming)
-    # one row per action and part: at most three per month or day of data
-    found = incoming.groupBy("action", "part").count().collect()
-    inserted = sum(r["count"] for r in found if r["action"] == "insert")
-    updated = sum(r["count"] for r in found if r["action"] == "update")
-    touched = [r["part"] for r in found if r["action"] == "update"]
-    rows = incoming.where(F.col("action") == "insert").select(*S.TYPED_COLUMNS)
-    if updated:
-        updates = incoming.where(F.col("action") == "update").select(
-            S.KEY, *[F.col(c).alias(f"_s_{c}") for c in S.MERGE_UPDATES], F.lit(True).alias("_s"))
-        rewritten = (
-            table.read(spark, root, touched)
-            .join(broadcast_if(updates, updated), S.KEY, "left")
-            .select(*[
-                F.when(F.col("_s"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
-                if c in S.MERGE_UPDATES else F.col(c)
-                for c in S.TYPED_COLUMNS
-            ])
-        )
-        rows = rewritten.unionByName(rows)
-    if inserted or updated:
-        batch = table.write_batch(spark, root, rows)
-        table.publish(spark, root, base, batch, touched, properties)
-    elif properties:
-        table.publish(spark, root, base, None, (), properties)
-    return {"inserted": inserted, "updated": updated, "affected": inserted + updated}
+    with written(spark, sorted_out) as incoming:
+        # one row per action and part: at most three per month or day of data
+        found = incoming.groupBy("action", "part").count().collect()
+        counts = {a: sum(r["count"] for r in found if r["action"] == a)
+                  for a in ("insert", "update")}
+        touched = [r["part"] for r in found if r["action"] == "update"]
+        rows = incoming.where(F.col("action") == "insert").select(*S.TYPED_COLUMNS)
+        if touched:
+            updates = incoming.where(F.col("action") == "update")
+            rows = _updated(table.read(spark, root, touched), updates,
+                            counts["update"]).unionByName(rows)
+        batch = table.write_batch(spark, root, rows) if any(counts.values()) else None
+        if batch or properties:
+            table.publish(spark, root, base, batch, touched, properties)
+    return {"inserted": counts["insert"], "updated": counts["update"],
+            "affected": counts["insert"] + counts["update"]}
+
+
+def _updated(stored: DataFrame, updates: DataFrame, n_updates: int) -> DataFrame:
+    """Stored rows with the changeable columns taken from their update, if they have one."""
+    new = updates.select(S.KEY, *[F.col(c).alias(f"_s_{c}") for c in S.MERGE_UPDATES],
+                         F.lit(True).alias("_s"))
+    return stored.join(broadcast_if(new, n_updates), S.KEY, "left").select(*[
+        F.when(F.col("_s"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c)
+        if c in S.MERGE_UPDATES else F.col(c)
+        for c in S.TYPED_COLUMNS
+    ])
 
 
 def upsert_into(spark: SparkSession, root: str, rows: DataFrame, key: str = S.KEY) -> int:
@@ -79,17 +96,18 @@ def upsert_into(spark: SparkSession, root: str, rows: DataFrame, key: str = S.KE
     stored in; they are rewritten without the replaced keys.
     """
     base = table.snapshot(spark, root)
-    rows = written(spark, rows.select(*base.schema.names))
-    total = rows.count()
-    if not total:
-        return 0
-    stored = table.read(spark, root, with_part=True).select(key, "part")
-    hits = _hits(stored, rows, total, key)
-    touched = [r["part"] for r in hits.select("part").distinct().collect()]
-    fresh = rows
-    if touched:
-        keys = broadcast_if(rows.select(key), total)
-        fresh = table.read(spark, root, touched).join(keys, key, "left_anti").unionByName(rows)
-    batch = table.write_batch(spark, root, fresh)
-    table.publish(spark, root, base, batch, touched)
-    return total
+    with written(spark, rows.select(*base.schema.names)) as incoming:
+        total = incoming.count()
+        if not total:
+            return 0
+        stored = table.read(spark, root, with_part=True).select(key, "part")
+        hits = _hits(stored, incoming, key)
+        touched = [r["part"] for r in hits.select("part").distinct().collect()]
+        fresh = incoming
+        if touched:
+            keys = broadcast_if(incoming.select(key), total)
+            kept = table.read(spark, root, touched).join(keys, key, "left_anti")
+            fresh = kept.unionByName(incoming)
+        batch = table.write_batch(spark, root, fresh)
+        table.publish(spark, root, base, batch, touched)
+        return total
