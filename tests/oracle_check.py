@@ -32,7 +32,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def _sortable(row):
-    return tuple((v is not None, str(type(v)), v if v is not None else 0) for v in row)
+    return tuple((v is None, 0 if v is None else v) for v in row)
 
 
 def _plain(v):

@@ -31,7 +31,8 @@ def holidays(spark: SparkSession, days=STATE_HOLIDAYS) -> DataFrame:
 
 def date_spine(bounds: DataFrame) -> DataFrame:
     """One row per day from a one-row frame with ``start`` and (exclusive) ``end`` dates."""
-    days = F.sequence(F.col("start"), F.date_sub("end", 1), F.expr("interval 1 day"))
+    last = F.greatest(F.date_sub("end", 1), "start")
+    days = F.sequence(F.col("start"), last, F.expr("interval 1 day"))
     return bounds.where(F.col("start") < F.col("end")).select(F.explode(days).alias("date_day"))
 
 

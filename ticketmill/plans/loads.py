@@ -66,7 +66,8 @@ def plan_chunks(start: date, end: date, chunk_months: int = 1) -> list[tuple[dat
 def chunk_frame(bounds: DataFrame, chunk_months: int = 1) -> DataFrame:
     """The same chunks as rows, from a one-row frame with ``start`` and ``end``."""
     step = F.expr(f"interval {chunk_months} months")
-    firsts = F.sequence(F.trunc("start", "MM"), F.date_sub("end", 1), step)
+    first = F.trunc("start", "MM")
+    firsts = F.sequence(first, F.greatest(F.date_sub("end", 1), first), step)
     return bounds.where(F.col("start") < F.col("end")).select(
         "start", "end", F.explode(firsts).alias("first")
     ).select(

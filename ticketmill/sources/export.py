@@ -6,5 +6,5 @@ from pyspark.sql import DataFrame
 
 
 def write_csv(frame: DataFrame, path: str) -> None:
-    """CSV files with a header, one per partition of the frame."""
-    frame.write.mode("overwrite").option("header", True).csv(path)
+    """CSV files with a header, one per partition of the frame; quotes are doubled."""
+    frame.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
