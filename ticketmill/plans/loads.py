@@ -41,9 +41,11 @@ class LoadResult:
 
 
 def ensure_tables(spark: SparkSession, lake: Lake, granularity: str = "month") -> None:
-    for root in (lake.main, lake.staging):
-        table.create(spark, root, S.TYPED_SCHEMA,
-                     table.Layout("created_date", granularity, (S.KEY,)))
+    """Create the main table, sorted by key inside its parts, and the unpartitioned staging
+    table, where they do not exist."""
+    main = table.Layout("created_date", granularity, (S.KEY,))
+    for root, layout in ((lake.main, main), (lake.staging, table.Layout(None))):
+        table.create(spark, root, S.TYPED_SCHEMA, layout)
 
 
 # --- chunks ----------------------------------------------------------------------------

@@ -258,12 +258,13 @@ def f12_incremental_sla(b: Bed) -> DataFrame:
     return table.read(b.spark, path)
 
 
-@query("""SELECT coalesce(s.user_id, t.user_id) AS user_id,
-    CASE WHEN s.user_id IS NULL THEN t.event_id ELSE s.event_id END AS event_id,
-    CASE WHEN s.user_id IS NULL THEN t.ts ELSE s.ts END AS ts
-  FROM feed_target t FULL JOIN feed_source s ON t.user_id = s.user_id""")
+@query("""SELECT coalesce(s.state_key, t.state_key) AS state_key,
+    CASE WHEN s.state_key IS NULL THEN t.event_id ELSE s.event_id END AS event_id,
+    CASE WHEN s.state_key IS NULL THEN t.ts ELSE s.ts END AS ts
+  FROM feed_target t FULL JOIN feed_source s ON t.state_key = s.state_key""")
 def f12_upsert(b: Bed) -> DataFrame:
-    return upsert(b.feed_target(), b.feed_source(), "user_id").select("user_id", "event_id", "ts")
+    return upsert(b.feed_target(), b.feed_source(), "state_key").select(
+        "state_key", "event_id", "ts")
 
 
 @query(f"SELECT {SLA} FROM sla")

@@ -158,26 +158,28 @@ perf AS (
   FROM eq e LEFT JOIN dim_geography g USING (community_area_id)
   LEFT JOIN dim_request_type r USING (request_type_id)
   LEFT JOIN dim_department d USING (department_id)),
+states AS (
+  SELECT *, user_id || '/' || strftime(ts, '%Y-%m-%d') AS state_key FROM events),
 feed_target AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-    FROM events WHERE ts < TIMESTAMP '2024-01-20' AND user_id % 10 <> 0) WHERE rn = 1),
+    SELECT *, row_number() OVER (PARTITION BY state_key ORDER BY ts DESC, event_id DESC) AS rn
+    FROM states WHERE ts < TIMESTAMP '2024-01-20 12:00:00') WHERE rn = 1),
 feed_source AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
-    FROM events WHERE ts >= TIMESTAMP '2024-01-10'
-      AND (user_id % 3 <> 0 OR ts < TIMESTAMP '2024-01-20')) WHERE rn = 1),
+    SELECT *, row_number() OVER (PARTITION BY state_key ORDER BY ts DESC, event_id DESC) AS rn
+    FROM states WHERE ts >= TIMESTAMP '2024-01-20') WHERE rn = 1),
 feed_merged AS (
-  SELECT coalesce(t.user_id, s.user_id) AS user_id,
-    CASE WHEN t.user_id IS NULL THEN s.event_id ELSE t.event_id END AS event_id,
-    CASE WHEN t.user_id IS NULL OR s.ts > t.ts THEN s.ts ELSE t.ts END AS ts,
-    CASE WHEN t.user_id IS NULL OR s.ts > t.ts THEN s.event_type ELSE t.event_type END
+  SELECT coalesce(t.state_key, s.state_key) AS state_key,
+    CASE WHEN t.state_key IS NULL THEN s.user_id ELSE t.user_id END AS user_id,
+    CASE WHEN t.state_key IS NULL THEN s.event_id ELSE t.event_id END AS event_id,
+    CASE WHEN t.state_key IS NULL OR s.ts > t.ts THEN s.ts ELSE t.ts END AS ts,
+    CASE WHEN t.state_key IS NULL OR s.ts > t.ts THEN s.event_type ELSE t.event_type END
       AS event_type,
-    CASE WHEN t.user_id IS NULL THEN s.value ELSE t.value END AS value,
-    CASE WHEN t.user_id IS NULL THEN s.props ELSE t.props END AS props,
-    CASE WHEN t.user_id IS NULL THEN 'insert' WHEN s.ts > t.ts THEN 'update' ELSE 'keep' END
+    CASE WHEN t.state_key IS NULL THEN s.value ELSE t.value END AS value,
+    CASE WHEN t.state_key IS NULL THEN s.props ELSE t.props END AS props,
+    CASE WHEN t.state_key IS NULL THEN 'insert' WHEN s.ts > t.ts THEN 'update' ELSE 'keep' END
       AS action
-  FROM feed_target t FULL JOIN feed_source s ON t.user_id = s.user_id)
+  FROM feed_target t FULL JOIN feed_source s ON t.state_key = s.state_key)
 """
 
 TYPED = (

@@ -236,16 +236,24 @@ class Bed:
         """A new, empty lake."""
         return Lake(self.scratch("lake"))
 
-    # --- the change feed: users with versions of their state -----------------------------
+    # --- the change feed: the state of a user's day, with a version per event ------------
+
+    @cached_property
+    def feed(self) -> DataFrame:
+        day = F.date_format("ts", "yyyy-MM-dd")
+        return self.events.withColumn(
+            "state_key", F.concat(F.col("user_id").cast("string"), F.lit("/"), day))
 
     def feed_target(self) -> DataFrame:
-        return self._latest("ts < '2024-01-20' and user_id % 10 <> 0")
+        """The states stored at noon of 20 January."""
+        return self._latest(F.col("ts") < "2024-01-20 12:00:00")
 
     def feed_source(self) -> DataFrame:
-        return self._latest("ts >= '2024-01-10' and (user_id % 3 <> 0 or ts < '2024-01-20')")
+        """What is read next, from the start of that day: known, newer and new states."""
+        return self._latest(F.col("ts") >= "2024-01-20 00:00:00")
 
-    def _latest(self, condition: str) -> DataFrame:
-        return wap.latest_wins(self.events.where(condition), "user_id", "ts", ["event_id"])
+    def _latest(self, condition: Column) -> DataFrame:
+        return wap.latest_wins(self.feed.where(condition), "state_key", "ts", ["event_id"])
 
 
 _beds: dict[tuple[str, str], Bed] = {}
