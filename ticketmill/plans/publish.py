@@ -49,33 +49,46 @@ def merge_into(spark: SparkSession, root: str, source: DataFrame,
     """Latest-wins merge of typed tickets; returns inserted, updated and affected counts.
 
     ``source`` is a written (staged) table. The stored side is first read for key, version
-    and part only, to sort the incoming rows into inserts, updates and rest. Parts with
-    updates are rewritten; inserts into other parts are added as new files, so a load of new
-    tickets rewrites nothing.
+    and part only. If no incoming key is stored, as in a bulk load, the newest rows go
+    straight into new files. Otherwise they are sorted into inserts, updates and rest; parts
+    with updates are rewritten, and inserts into other parts are added as new files.
     """
     base = table.snapshot(spark, root)
     stored = table.read(spark, root, with_part=True).select(
         S.KEY, F.col(S.VERSION).alias("_version"), "part")
+    with written(spark, _hits(stored, source, S.KEY)) as hits:
+        known = hits.count()
+        if known:
+            batch, touched, updated, inserted = _sort_out(spark, root, source, hits, known)
+        else:
+            batch, touched, updated = table.write_batch(spark, root, latest_wins(source)), [], 0
+            inserted = batch.rows
+        if updated or inserted or properties:
+            batch = batch if updated or inserted else None
+            table.publish(spark, root, base, batch, touched, properties)
+    return {"inserted": inserted, "updated": updated, "affected": inserted + updated}
+
+
+def _sort_out(spark: SparkSession, root: str, source: DataFrame, hits: DataFrame,
+              known: int) -> tuple[table.Batch | None, list[str], int, int]:
+    """Write the changes of a merge; the batch, the parts it replaces, updates, inserts."""
     newer = F.col(S.VERSION) > F.col("_version")
-    sorted_out = latest_wins(source).join(_hits(stored, source, S.KEY), S.KEY, "left").withColumn(
+    marked = latest_wins(source).join(broadcast_if(hits, known), S.KEY, "left").withColumn(
         "action",
         F.when(F.col("part").isNull(), "insert").when(newer, "update").otherwise("keep"))
-    with written(spark, sorted_out) as incoming:
+    with written(spark, marked) as incoming:
         # one row per action and part: at most three per month or day of data
         found = incoming.groupBy("action", "part").count().collect()
-        counts = {a: sum(r["count"] for r in found if r["action"] == a)
-                  for a in ("insert", "update")}
+        updated, inserted = (sum(r["count"] for r in found if r["action"] == a)
+                             for a in ("update", "insert"))
         touched = [r["part"] for r in found if r["action"] == "update"]
         rows = incoming.where(F.col("action") == "insert").select(*S.TYPED_COLUMNS)
         if touched:
             updates = incoming.where(F.col("action") == "update")
-            rows = _updated(table.read(spark, root, touched), updates,
-                            counts["update"]).unionByName(rows)
-        batch = table.write_batch(spark, root, rows) if any(counts.values()) else None
-        if batch or properties:
-            table.publish(spark, root, base, batch, touched, properties)
-    return {"inserted": counts["insert"], "updated": counts["update"],
-            "affected": counts["insert"] + counts["update"]}
+            rows = _updated(table.read(spark, root, touched), updates, updated).unionByName(rows)
+        changed = updated or inserted
+        batch = table.write_batch(spark, root, rows) if changed else None
+    return batch, touched, updated, inserted
 
 
 def _updated(stored: DataFrame, updates: DataFrame, n_updates: int) -> DataFrame:
