@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def make_session():
     spark = (
         session.builder("ticketmill-tests").master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

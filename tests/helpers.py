@@ -4,15 +4,22 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
+from pyspark.sql.pandas.types import to_arrow_schema
+
 from ticketmill import schemas as S
 
 T = datetime.fromisoformat
 
 
+def local(spark, rows: list[dict], schema):
+    """Rows handed over as Arrow, which needs no Python workers."""
+    return spark.createDataFrame(pa.Table.from_pylist(rows, schema=to_arrow_schema(schema)))
+
+
 def raw(spark, *rows: dict):
     """All-text records; fields not given are absent (null)."""
-    schema = S.RAW_SCHEMA
-    return spark.createDataFrame([tuple(r.get(f) for f in schema.names) for r in rows], schema)
+    return local(spark, [{f: r.get(f) for f in S.RAW_SCHEMA.names} for r in rows], S.RAW_SCHEMA)
 
 
 def raw_row(key="SR1", created="2026-01-15T10:30:00.000", modified=None, **more) -> dict:
@@ -26,8 +33,8 @@ def tickets(spark, *rows: dict):
         v = r.get(f.name)
         return T(v) if f.name in S.TIMESTAMPS and isinstance(v, str) else v
 
-    return spark.createDataFrame(
-        [tuple(value(r, f) for f in S.TYPED_SCHEMA) for r in rows], S.TYPED_SCHEMA)
+    return local(spark, [{f.name: value(r, f) for f in S.TYPED_SCHEMA} for r in rows],
+                 S.TYPED_SCHEMA)
 
 
 def ticket(key="SR1", created="2026-01-15 10:30:00", modified=None, **more) -> dict:

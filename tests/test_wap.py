@@ -39,7 +39,8 @@ def test_ties_do_not_depend_on_row_order(spark):
 
 
 def test_rank_limit_runs_before_the_shuffle(spark):
-    plan = wap.latest_wins(tickets(spark, ticket()))._jdf.queryExecution().toString()
+    rows = spark.range(1000).selectExpr("id % 7 as k", "id as v", "'x' as payload")
+    plan = wap.latest_wins(rows, "k", "v")._jdf.queryExecution().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
