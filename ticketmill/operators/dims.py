@@ -111,11 +111,9 @@ def dim_request_type(stg: DataFrame, targets: DataFrame, by_code: bool = False)
     ``by_code`` keeps a row per (type, short code) pair; such a dimension repeats its id and
     would multiply fact rows, so facts take the default form.
     """
-    named = stg.select("sr_type", "sr_short_code").where("sr_type is not null")
-    types = (
-        named.distinct() if by_code
-        else named.groupBy("sr_type").agg(F.min("sr_short_code").alias("sr_short_code"))
-    )
+    types = stg.select("sr_type", "sr_short_code").where("sr_type is not null").distinct()
+    if not by_code:
+        types = types.groupBy("sr_type").agg(F.min("sr_short_code").alias("sr_short_code"))
     return types.join(targets, "sr_type", "left").select(
         surrogate_key(F.col("sr_type")).alias("request_type_id"),
         F.col("sr_type").alias("request_type_name"),

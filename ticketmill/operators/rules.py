@@ -165,21 +165,27 @@ def monthly_sla(stg: DataFrame, targets: DataFrame, areas: DataFrame,
     """Completed tickets per closing month, type, department and area.
 
     ``targets`` has sr_type and target_days. The equity index compares with the same type
-    and month city-wide; its window runs over grouped rows. The exact median keeps one
-    counter per distinct day count in a group, not one entry per ticket.
+    and month city-wide; its window runs over grouped rows. Tickets are first counted per
+    number of days, so the exact median works on weighted day counts, not on tickets.
     """
     done = completed(without_duplicates(stg)).where("closed_date is not null")
     done = with_business_days(
         done.join(targets.select("sr_type", "target_days"), "sr_type", "left"), day_numbers)
     days = F.col("resolution_days")
     grain = ["period_month", "sr_type", "owner_department", "community_area"]
-    grouped = done.withColumn("period_month", F.to_date(F.trunc("closed_date", "MM"))).groupBy(
-        *grain).agg(
-        F.count(F.lit(1)).alias("total_closed"),
-        F.count_if(days > F.col("target_days")).alias("total_breached"),
-        F.sum(days).alias("_days"),
-        F.avg("business_days").alias("avg_business_days_taken"),
-        F.percentile(days, 0.5).alias("median_resolution_days"),
+    per_days = done.withColumn("period_month", F.to_date(F.trunc("closed_date", "MM"))).groupBy(
+        *grain, "resolution_days").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(days > F.col("target_days")).alias("late"),
+        F.sum("business_days").alias("business"),
+        F.count("business_days").alias("business_known"),
+    )
+    grouped = per_days.groupBy(*grain).agg(
+        F.sum("n").alias("total_closed"),
+        F.sum("late").alias("total_breached"),
+        F.sum(days * F.col("n")).alias("_days"),
+        F.try_divide(F.sum("business"), F.sum("business_known")).alias("avg_business_days_taken"),
+        F.percentile(days, 0.5, F.col("n")).alias("median_resolution_days"),
     )
     same = Window.partitionBy("period_month", "sr_type")
     average = F.col("_days") / F.col("total_closed")

@@ -26,8 +26,9 @@ def written(spark: SparkSession, df: DataFrame) -> Iterator[DataFrame]:
     """
     path = f"{shared_dir(spark)}/ticketmill/work-{uuid.uuid4().hex}"
     try:
-        df.write.parquet(path)
-        yield spark.read.parquet(path)
+        table.make_folder(spark, path, until_exit=True)
+        df.write.parquet(f"{path}/rows")
+        yield spark.read.parquet(f"{path}/rows")
     finally:
         table.delete(spark, path)
 

@@ -134,6 +134,7 @@ class Bed:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = prepare(spark), sf_dir
         self.root = f"{shared_dir(spark)}/ticketmill/bed-{uuid.uuid4().hex}"
+        table.make_folder(spark, self.root, until_exit=True)
         self.as_of = AS_OF
 
     def given(self, name: str) -> DataFrame:
