@@ -9,7 +9,9 @@ from ticketmill.operators import equity_board as equity
 from ticketmill.operators import operations_board as board
 from ticketmill.sources import export, seeds
 
-OPS = "service_request_number string, department_name string, priority_level string, days_open bigint, days_until_breach bigint, triage_status string, status_name string, created_date date"
+OPS = ("service_request_number string, department_name string, priority_level string, "
+       "days_open bigint, days_until_breach bigint, triage_status string, status_name string, "
+       "created_date date")
 
 
 def ops(spark, *rows):

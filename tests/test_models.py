@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ticketmill import schemas as S
 from ticketmill.functions import geometry, labels, text
 from ticketmill.functions.keys import surrogate_key
-from ticketmill.operators import dims, facts, marts, staging
+from ticketmill.operators import dims, facts, ingest, marts, staging
 from ticketmill.plans import build
 from ticketmill.sources import seeds, table
 
@@ -263,8 +263,13 @@ def test_empty_target_gives_an_empty_slice(spark):
     assert facts.modified_slice(stg, stg).count() == 1
 
 
-def test_fact_table_is_partitioned_by_month(spark, tmp_path):
+def test_fact_table_is_partitioned_by_month_and_checked(spark, tmp_path):
     root = str(tmp_path / "wh")
-    build.build_models(spark, root, tickets(spark, closed("A", 10), ticket("B", "2026-02-01 00:00:00")),
-                       seeds_of(spark), AS_OF)
+    rows = tickets(spark, closed("A", 10), ticket("B", "2026-02-01 00:00:00", sr_type=None))
+    rows = ingest.with_calendar_parts(rows).select(*S.TYPED_COLUMNS)
+    models = build.build_models(spark, root, rows, seeds_of(spark), AS_OF)
+    failed = {(r["model"], r["check_name"], r["checked"])
+              for r in as_dicts(build.check_models(models)) if not r["passed"]}
+    assert failed == {("stg_service_requests", "not_null", "sr_type"),
+                      ("fct_service_requests", "not_null", "request_type_id")}
     assert sorted(table.snapshot(spark, f"{root}/fct_service_requests").parts) == ["2026-01", "2026-02"]

@@ -118,10 +118,14 @@ STAGING = (
     accepted_range("created_month", 1, 12),
 )
 DIM_DATE = (unique("date_day"), not_null("date_day"))
-DIM_DEPARTMENT = (not_null("department_id"),)
-DIM_GEOGRAPHY = (unique("community_area_id"), not_null("community_area_id"))
-DIM_REQUEST_TYPE = (unique("request_type_id"), not_null("request_type_id"))
-DIM_STATUS = (not_null("status_id"),)
+DIM_DEPARTMENT = (not_null("department_id"), not_null("dbt_updated_at"))
+DIM_GEOGRAPHY = (
+    unique("community_area_id"), not_null("community_area_id"), not_null("dbt_updated_at"),
+)
+DIM_REQUEST_TYPE = (
+    unique("request_type_id"), not_null("request_type_id"), not_null("dbt_updated_at"),
+)
+DIM_STATUS = (not_null("status_id"), not_null("dbt_updated_at"))
 FACT = (
     unique_combination("service_request_number"), unique("service_request_number"),
     not_null("service_request_number"), not_null("request_type_id"), not_null("department_id"),

@@ -6,8 +6,9 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketmill.operators import dims, facts, marts, staging
+from ticketmill.operators import checks, dims, facts, marts, staging
 from ticketmill.operators.joins import sized
 from ticketmill.plans.publish import upsert_into
 from ticketmill.sources import table
@@ -50,10 +51,17 @@ def write_table(frame: DataFrame, path: str) -> DataFrame:
 
 
 def write_dimensions(spark: SparkSession, root: str, stg: DataFrame, seeds: Seeds,
-                     calendar: DataFrame, holiday_dates: DataFrame) -> Dimensions:
-    """Write the dimensions as tables and return them, measured for broadcasting."""
+                     calendar: DataFrame, holiday_dates: DataFrame,
+                     stamp: bool = False) -> Dimensions:
+    """Write the dimensions as tables and return them, measured for broadcasting.
+
+    ``stamp`` adds the rebuild time to all but the calendar.
+    """
     members = write_table(dims.members(stg), f"{root}/members")
     frames = dimension_frames(members, seeds, calendar, holiday_dates)
+    if stamp:
+        frames = {n: f if n == "dim_date" else dims.with_rebuild_time(f)
+                  for n, f in frames.items()}
     done = {n: sized(write_table(f, f"{root}/{n}")) for n, f in frames.items()}
     return Dimensions(done["dim_date"], done["dim_geography"], done["dim_request_type"],
                       done["dim_department"], done["dim_status"])
@@ -70,7 +78,7 @@ FACTS = {
 
 def refresh_fact(spark: SparkSession, path: str, name: str, stg: DataFrame,
                  star: Dimensions, full_refresh: bool = False,
-                 layout: table.Layout | None = None) -> int:
+                 layout: table.Layout | None = None, stamp: bool = False) -> int:
     """Rebuild the fact ``name`` at ``path``, or upsert the rows changed since its stored
     maximum; the number of rows written or replaced."""
     if name == "fct_service_requests":
@@ -79,7 +87,12 @@ def refresh_fact(spark: SparkSession, path: str, name: str, stg: DataFrame,
     else:
         pick, model, lookups = (facts.closed_slice, facts.fct_sla_performance,
                                 (star.request_type, star.department))
-    whole = model(stg, *lookups)
+
+    def rows(tickets: DataFrame) -> DataFrame:
+        fact = model(tickets, *lookups)
+        return dims.with_rebuild_time(fact) if stamp else fact
+
+    whole = rows(stg)
     new = table.snapshot(spark, path) is None
     table.create(spark, path, whole.schema, layout or FACTS[name])
     if new or full_refresh:
@@ -87,7 +100,7 @@ def refresh_fact(spark: SparkSession, path: str, name: str, stg: DataFrame,
     # the newest closing date lies in the newest part; a newest change may lie in any part
     parts = table.newest_part(spark, path) if pick is facts.closed_slice else None
     changed = pick(stg, table.read(spark, path, parts))
-    return upsert_into(spark, path, model(changed, *lookups))
+    return upsert_into(spark, path, rows(changed))
 
 
 def build_models(spark: SparkSession, root: str, tickets: DataFrame, seeds: Seeds, as_of=None,
@@ -103,9 +116,9 @@ def build_models(spark: SparkSession, root: str, tickets: DataFrame, seeds: Seed
     stg = staging.stg_service_requests(tickets, as_of)
     calendar = calendar if calendar is not None else dims.fixed_bounds(spark)
     holiday_dates = holiday_dates if holiday_dates is not None else dims.holidays(spark)
-    d = write_dimensions(spark, run, stg, seeds, calendar, holiday_dates)
+    d = write_dimensions(spark, run, stg, seeds, calendar, holiday_dates, stamp=True)
     for name in FACTS:
-        refresh_fact(spark, f"{root}/{name}", name, stg, d, full_refresh)
+        refresh_fact(spark, f"{root}/{name}", name, stg, d, full_refresh, stamp=True)
     fct = table.read(spark, f"{root}/fct_service_requests")
     sla = table.read(spark, f"{root}/fct_sla_performance")
     operational = marts.mart_operational(fct, d.geography, d.request_type, d.department,
@@ -123,3 +136,25 @@ def build_models(spark: SparkSession, root: str, tickets: DataFrame, seeds: Seed
         frame.createOrReplaceTempView(name)
     return models
 
+
+
+SUITES = {
+    "stg_service_requests": checks.STAGING,
+    "dim_date": checks.DIM_DATE,
+    "dim_department": checks.DIM_DEPARTMENT,
+    "dim_geography": checks.DIM_GEOGRAPHY,
+    "dim_request_type": checks.DIM_REQUEST_TYPE,
+    "dim_status": checks.DIM_STATUS,
+    "fct_service_requests": checks.FACT,
+    "fct_sla_performance": checks.SLA_FACT,
+    "mart_operational": checks.MART_OPERATIONAL,
+}
+
+
+def check_models(models: dict[str, DataFrame]) -> DataFrame:
+    """The result of every model's suite, with the model's name; nothing stops at a failure."""
+    out = None
+    for name, suite in SUITES.items():
+        result = checks.run_suite(models[name], suite).withColumn("model", F.lit(name))
+        out = result if out is None else out.unionByName(result)
+    return out
