@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketmill.session import shared_dir
@@ -34,3 +37,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Hand this subpackage to the Python workers, once per application. Spark's own file server
+    passes the archive on, so executors need neither the sources nor a shared folder."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="run-ticketmill-")) / "ticketmill_llm.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in [top / "__init__.py", top / "session.py", *sorted((top / "llm").glob("*.py"))]:
+            z.write(f, f"{top.name}/{f.relative_to(top)}")
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
