@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketmill.llm import lines, mixing, pieces
+from ticketmill.llm import lines, minhash, mixing, pieces
 
 
 def _over(table: str, fn: Callable[[DataFrame], DataFrame]):
@@ -18,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_line_dedup": _over("documents", lines.digest),
         "op3_sentencepiece": _over("documents", pieces.digest),
         "op5_source_mix": _over("documents", mixing.shares),
+        "op6_minhash_dedup": _over("documents", minhash.by_four_words),
     }
 
 
