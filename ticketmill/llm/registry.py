@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketmill.llm import lines, minhash, mixing, pieces
+from ticketmill.llm import lines, minhash, mixing, pieces, repeats
 
 
 def _over(table: str, fn: Callable[[DataFrame], DataFrame]):
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": _over("documents", lines.digest),
         "op3_sentencepiece": _over("documents", pieces.digest),
+        "op4_suffix_dedup": _over("documents", repeats.digest),
         "op5_source_mix": _over("documents", mixing.shares),
         "op6_minhash_dedup": _over("documents", minhash.by_four_words),
     }
