@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketmill.llm import lines, minhash, mixing, pieces, quality, repeats
+from ticketmill.llm import lines, minhash, mixing, pieces, quality, repeats, toxicity
 
 
 def _over(table: str, fn: Callable[[DataFrame], DataFrame]):
@@ -20,6 +20,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_suffix_dedup": _over("documents", repeats.digest),
         "op5_source_mix": _over("documents", mixing.shares),
         "op6_minhash_dedup": _over("documents", minhash.by_four_words),
+        "op7_toxicity": lambda spark, sf_dir: toxicity.scored(
+            spark.read.parquet(f"{sf_dir}/documents.parquet"),
+            spark.read.parquet(f"{sf_dir}/labels.parquet")),
         "op8_quality_rules": _over("documents", quality.verdicts),
     }
 
