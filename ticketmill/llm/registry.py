@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketmill.llm import lines, minhash, mixing, pieces, quality, repeats, toxicity
+from ticketmill.llm import lines, minhash, mixing, neighbours, pieces, quality, repeats, toxicity
 
 
 def _over(table: str, fn: Callable[[DataFrame], DataFrame]):
@@ -16,6 +16,7 @@ def _over(table: str, fn: Callable[[DataFrame], DataFrame]):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": _over("documents", lines.digest),
+        "op2_nearest": _over("embeddings", neighbours.search),
         "op3_sentencepiece": _over("documents", pieces.digest),
         "op4_suffix_dedup": _over("documents", repeats.digest),
         "op5_source_mix": _over("documents", mixing.shares),
