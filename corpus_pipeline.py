@@ -1,26 +1,56 @@
-"""From raw documents to a training mix: the stages in order, each over all that the last kept."""
+"""From raw documents to token ids: the stages in order, each over all that the last one kept."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketmill.llm import lines, mixing
-from ticketmill.llm.frames import pick, written
+from ticketmill.llm import lines, minhash, mixing, pieces, toxicity
+from ticketmill.llm.frames import pick, ship, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.5 stay."""
+    ship(spark)
+    docs = pick(docs, *COLUMNS)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    score = toxicity.toxic_score(model, F.col("text"))
+    return docs.withColumn("score", score).where("score < 0.5").drop("score")
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pick(lines.drop_shared_lines(docs), *COLUMNS)
+    """Shared lines leave the text, but for one document; n_chars follows the text."""
+    cleaned = pick(lines.drop_shared_lines(pick(docs, *COLUMNS)), *COLUMNS)
+    return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: five-word shingles, similarity of 0.8 or more."""
+    return minhash.one_of_each(pick(docs, *COLUMNS))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
     return mixing.repeated(pick(docs, *COLUMNS))
 
 
-STAGES = [("line_dedup", line_dedup), ("source_mix", source_mix)]
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids with the digests that the encoding and decoding are checked by."""
+    return pieces.encode(docs, parts=("ids",))
+
+
+STAGES = [
+    ("toxicity", toxicity_filter),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("source_mix", source_mix),
+    ("sentencepiece", sentencepiece),
+]
 
-#: Learned scores, signatures and tokens have no SQL form; the stages are tested one by one.
+#: Learned scores, signatures and token ids have no SQL form; tests hold each stage against a
+#: brute-force version.
 ORACLE_SQL = None
 
 

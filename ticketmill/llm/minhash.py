@@ -268,5 +268,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
                    F.lit(True)).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` whose document is kept by ``near_duplicates``."""
+    gone = written(near_duplicates(docs, size, similarity).where(~F.col("kept")).select(
+        F.col("doc_id").alias("gone")).distinct(), "gone")
+    few = gone.limit(SEND + 1).count() <= SEND
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["gone"], "left_anti")
+
+
 def by_four_words(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, size=4)

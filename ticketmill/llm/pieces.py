@@ -138,10 +138,11 @@ def model(path: str | None) -> Pieces:
     return Pieces(path)
 
 
-def encode(docs: DataFrame, path: str | None = None, tokens: bool = True) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None,
+           parts: tuple[str, ...] = ("ids", "starts", "ends", "decoded")) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, ids_sha256 (of the decimal ids joined by a space),
     decoded_sha256 (of the text that the ids decode to), n_covered (bytes of the text inside
-    some piece), and with ``tokens`` also ids, starts and ends (byte range of each piece in the
+    some piece), and of ``parts`` those named: ids, starts and ends (byte range of each piece in the
     UTF-8 text) and decoded.
 
     ``path`` names a model file that every executor can read. Null or empty text is the end id
@@ -151,8 +152,7 @@ def encode(docs: DataFrame, path: str | None = None, tokens: bool = True) -> Dat
     """
     schema = ("doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, "
               "n_covered bigint")
-    if tokens:
-        schema += ", ids array<int>, starts array<int>, ends array<int>, decoded string"
+    schema += "".join(f", {p} {'string' if p == 'decoded' else 'array<int>'}" for p in parts)
 
     def work(batch: pa.RecordBatch) -> dict:
         pieces = model(path)
@@ -168,17 +168,16 @@ def encode(docs: DataFrame, path: str | None = None, tokens: bool = True) -> Dat
             out["ids_sha256"].append(hashlib.sha256(joined.encode()).hexdigest())
             out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
             out["n_covered"].append(int((ends - starts).sum()))
-            if tokens:
-                out["ids"].append(np.array(ids, np.int32))
-                out["starts"].append(starts)
-                out["ends"].append(ends)
-                out["decoded"].append(decoded)
+            for name, part in (("ids", ids), ("starts", starts), ("ends", ends),
+                               ("decoded", decoded)):
+                if name in parts:
+                    out[name].append(part)
         made = {"doc_id": batch.column("doc_id"), **{
             k: pa.array(v, pa.int64() if k.startswith("n_") else pa.string())
             for k, v in out.items() if k not in ("ids", "starts", "ends")}}
         for k in ("ids", "starts", "ends"):
             counts = np.cumsum([0, *map(len, out[k])]).astype(np.int32)
-            values = np.concatenate([np.zeros(0, np.int32), *out[k]]).astype(np.int32)
+            values = np.concatenate([np.zeros(0, np.int32), *(np.asarray(x, np.int32) for x in out[k])])
             made[k] = pa.ListArray.from_arrays(pa.array(counts), pa.array(values))
         return made
 
@@ -189,4 +188,4 @@ def encode(docs: DataFrame, path: str | None = None, tokens: bool = True) -> Dat
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return encode(docs, tokens=False)
+    return encode(docs, parts=())

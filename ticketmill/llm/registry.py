@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketmill.llm import lines, minhash, mixing, neighbours, pieces, quality, repeats, toxicity
+from ticketmill.llm import licences, lines, minhash, mixing, neighbours, pieces, quality, repeats, toxicity, wrappers
 
 
 def _over(table: str, fn: Callable[[DataFrame], DataFrame]):
@@ -25,6 +25,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             spark.read.parquet(f"{sf_dir}/documents.parquet"),
             spark.read.parquet(f"{sf_dir}/labels.parquet")),
         "op8_quality_rules": _over("documents", quality.verdicts),
+        "op9_licence_scan": _over("documents", licences.scan),
+        "op10_html_text": _over("pages", wrappers.extract),
     }
 
 
