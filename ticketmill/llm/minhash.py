@@ -278,3 +278,33 @@ def one_of_each(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> Data
 
 def by_four_words(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs, size=4)
+
+
+SQL = """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\\x20\\x09-\\x0D]+') AS l
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, array_to_string(l[i:i + 3], ' ') AS shingle
+  FROM worded, generate_series(1, greatest(len(l) - 3, 1)) AS g(i) WHERE len(l) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * c >= 80 * (p.n + q.n - c)
+), ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reached AS (
+  SELECT doc_id AS node, doc_id AS root FROM documents
+  UNION SELECT w.y, r.root FROM reached r JOIN ways w ON w.x = r.node
+)
+SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.root) AS component_id,
+       d.doc_id = min(r.root) AS kept
+FROM documents d JOIN reached r ON r.node = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""

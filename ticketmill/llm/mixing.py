@@ -18,9 +18,10 @@ def n_words(text: Column) -> Column:
 
 
 def _draw() -> Column:
-    """A document's place in the seeded order, uniform in [0, 1)."""
-    bits = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "doc_id", "text"), 11)
-    return bits.cast("double") / F.lit(float(2**53))
+    """A document's place in the seeded order, uniform in [0, 1): 52 bits of a digest, which
+    every SQL engine computes alike."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(SEED)), F.col("doc_id").cast("string"), "text"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
 def weighted(sources: DataFrame, weights: tuple[int, ...]) -> DataFrame:
@@ -145,3 +146,49 @@ def shares(docs: DataFrame) -> DataFrame:
     return mix(docs).select(
         "doc_id", "size", "source_size", "target",
         (F.col("size") * F.col("copies")).alias("taken"))
+
+
+SQL = """
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         ('0x' || substr(md5(concat_ws('|', '20260101', doc_id::VARCHAR, text)), 1, 13))::BIGINT
+           / 4503599627370496.0::DOUBLE AS draw
+  FROM documents
+), sums AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), capped AS (
+  SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight,
+         3 * source_size AS cap FROM sums
+), filled AS (
+  SELECT *, row_number() OVER o AS nth,
+         (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))::DOUBLE
+           / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0))::DOUBLE AS level
+  FROM capped
+  WINDOW o AS (ORDER BY cap::DOUBLE / weight, source NULLS LAST),
+         before AS (ORDER BY cap::DOUBLE / weight, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), levelled AS (
+  SELECT source, source_size, cap, weight,
+         (SELECT level FROM filled WHERE weight * level < cap ORDER BY nth LIMIT 1) AS level
+  FROM filled
+), targets AS (
+  SELECT source, source_size,
+         CASE WHEN weight * level < cap THEN weight * level ELSE cap::DOUBLE END AS target
+  FROM levelled
+), placed AS (
+  SELECT d.doc_id, d.size, d.draw, d.source, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS whole,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.size
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT
+           - d.size / 2.0::DOUBLE AS middle
+  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), cut AS (
+  SELECT *, max(draw) FILTER (WHERE middle <= target - whole * source_size)
+              OVER (PARTITION BY source) AS last
+  FROM placed
+)
+SELECT doc_id, size, source_size, target,
+       (size * (whole + CASE WHEN target - whole * source_size > 0 AND draw <= last
+                             THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM cut
+"""

@@ -405,3 +405,37 @@ def cut_repeats(docs: DataFrame, texts: bool = True) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     return cut_repeats(docs, texts=False)
+
+
+SQL = """
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), chunks AS (
+  SELECT doc_id, c * 256 AS place, substr(h, 512 * c + 1, 710) AS h
+  FROM texts, generate_series(0, len(h) // 512) AS g(c)
+), windows AS (
+  SELECT doc_id, place + p AS p, md5(substr(h, 2 * p + 1, 200)) AS w
+  FROM chunks, generate_series(0, least(255, len(h) // 2 - 100)) AS g(p)
+), firsts AS (
+  SELECT w, min(struct_pack(d := doc_id, p := p)) AS f FROM windows GROUP BY w HAVING count(*) > 1
+), again AS (
+  SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before
+  FROM windows JOIN firsts USING (w) WHERE f.d <> doc_id OR f.p <> p
+), runs AS (
+  SELECT doc_id, p, sum((before IS NULL OR p - before > 100)::INT)
+                      OVER (PARTITION BY doc_id ORDER BY p) AS run FROM again
+), spans AS (
+  SELECT doc_id, min(p) AS s, max(p) + 100 AS e FROM runs GROUP BY doc_id, run
+), pieces AS (
+  SELECT t.doc_id, h, s, e, coalesce(lag(e) OVER o, 0) AS kept_from, s AS kept_to
+  FROM texts t JOIN spans USING (doc_id) WINDOW o AS (PARTITION BY t.doc_id ORDER BY s)
+), cut AS (
+  SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * kept_from + 1, 2 * (kept_to - kept_from)), '' ORDER BY s)
+           || substr(any_value(h), 2 * max(e) + 1) AS kept
+  FROM pieces GROUP BY doc_id
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
