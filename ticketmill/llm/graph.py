@@ -31,8 +31,7 @@ def components(links: DataFrame) -> DataFrame:
         links = written(around.join(least, F.col("u") == F.col("n")).where("v > u").select(
             F.col("m").alias("a"), F.col("v").alias("b")).where("a < b").distinct(), "large-star")
         # each node now joins its smaller neighbours, and itself, to the smallest of them
-        least = written(links.groupBy("b").agg(F.min("a").alias("m")).select(
-            F.col("b").alias("n"), "m"), "least")
+        least = links.groupBy("b").agg(F.min("a").alias("m")).select(F.col("b").alias("n"), "m")
         joined = links.join(least, F.col("b") == F.col("n"))
         links = written(joined.select(F.col("m").alias("a"), F.col("a").alias("b"))
                         .where("a < b").union(least.select(F.col("m").alias("a"),

@@ -51,6 +51,12 @@ def estimate(bits: np.ndarray, length: np.ndarray, agree: np.ndarray, queries: n
     return seen * (length / agree), norm * (length * (WIDTH * spread + 1e-5))
 
 
+def distance(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Euclidean distances, summed dimension by dimension so that every engine agrees."""
+    squares = (vectors - query) ** 2
+    return np.sqrt(np.add.accumulate(squares, axis=1)[:, -1])
+
+
 def nearest(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray,
             bits: np.ndarray, length: np.ndarray, agree: np.ndarray, k: int):
     """Of one block: (query, id, distance) rows, the ``k`` nearest of each query by distance,
@@ -64,12 +70,12 @@ def nearest(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids
         bound = np.where(other, low[q], np.inf)
         left = np.flatnonzero(other)
         first = left[np.argsort(bound[left], kind="stable")[:4 * k]]
-        exact = np.sqrt(((vectors[first] - queries[q]) ** 2).sum(axis=1))
+        exact = distance(vectors[first], queries[q])
         if len(first) < len(left):
             reach = np.partition(exact, k - 1)[k - 1] ** 2
             more = left[bound[left] <= reach * (1 + 1e-9) + 1e-12]
             first = np.union1d(first, more)
-            exact = np.sqrt(((vectors[first] - queries[q]) ** 2).sum(axis=1))
+            exact = distance(vectors[first], queries[q])
         best = np.lexsort((ids[first], exact))[:k]
         out.append((np.full(len(best), query_ids[q]), ids[first][best], exact[best]))
     return out
@@ -151,3 +157,21 @@ def search(vectors: DataFrame, every: int = 100, k: int = NEAREST) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
+
+
+SQL = """
+WITH usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         sqrt(list_sum([(t[1] - t[2]) * (t[1] - t[2]) for t in list_zip(q.v, c.v)])) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank,
+       vec_id, score
+FROM scored
+QUALIFY rank <= 10
+"""

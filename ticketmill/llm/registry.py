@@ -33,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": lines.SQL,
+        "op2_nearest": neighbours.SQL,
         "op4_suffix_dedup": repeats.SQL,
         "op5_source_mix": mixing.SQL,
         "op6_minhash_dedup": minhash.SQL,
