@@ -253,11 +253,11 @@ def earlier_match(order: np.ndarray, same: np.ndarray, position: np.ndarray) ->
     """Which suffixes have an earlier match. ``order`` lists them in suffix order, ``same`` says
     of each place in that order that it shares the asked length with the place before, and
     ``position`` ranks the suffixes by where they start."""
-    group = np.cumsum(~same)
+    group, step = np.cumsum(~same), position.max(initial=0) + 1
     # later groups lie lower, so running minima from the left start anew in each of them
-    fall = position[order] - group * np.int64(len(order) + 1)
+    fall = position[order] - group * step
     previous = np.r_[np.iinfo(np.int64).max, np.minimum.accumulate(fall)[:-1]]
-    rise = position[order] + group * np.int64(len(order) + 1)
+    rise = position[order] + group * step
     following = np.r_[np.minimum.accumulate(rise[::-1])[::-1][1:], np.iinfo(np.int64).max]
     out = np.zeros(len(order), bool)
     out[order] = (previous < fall) | (following < rise)
