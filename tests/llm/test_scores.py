@@ -1,0 +1,147 @@
+"""Toxicity, quality, licences: held-out accuracy, plain versions, awkward rows."""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ticketmill.llm import licences, quality, toxicity
+
+from .frames_for import AWKWARD, WORDS, documents, prose, rows_of
+
+INSULTS = ["numpty", "gitface", "plonker"]
+
+
+def labels_frame(spark, rows):
+    ids, toxic = zip(*rows) if rows else ((), ())
+    return spark.createDataFrame(pa.table({
+        "doc_id": pa.array(ids, pa.int64()), "quality": pa.array([1] * len(ids), pa.int32()),
+        "toxic": pa.array(toxic, pa.int32()), "score": pa.array([9] * len(ids), pa.int64())}))
+
+
+@pytest.fixture(scope="module")
+def toxic_rows():
+    rows, labels = [], []
+    for i in range(300):
+        bad = i % 4 == 0
+        word = INSULTS[i % 3] + ["", "s", "ish"][i // 12 % 3] if bad else "numptyville" if i % 60 == 1 else ""
+        rows.append((i, f"{prose(i, 30)} {word} {prose(-i - 1, 30)}"))
+        labels.append((i, int(bad)))
+    return rows, labels
+
+
+def test_toxicity_on_held_out_rows(spark, toxic_rows):
+    rows, labels = toxic_rows
+    more = [*AWKWARD, (900, "you NUMPTY, go"), (901, "a nümpty or a pl0nker and g1tfасе"), (902, "numptyville"),
+            (903, "xnumpty")]
+    docs = documents(spark, rows + more, extra=("score", "toxic", "held_out"))
+    got = {r["doc_id"]: r for r in rows_of(toxicity.scored(docs, labels_frame(
+        spark, labels + [(None, 1), (5, None), (6, 3)])))}
+    truth = dict(labels)
+    for doc_id, r in got.items():
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+        if doc_id is not None:
+            assert r["held_out"] == (zlib.crc32(str(doc_id).encode()) % 5 == 0)
+        if r["held_out"] and doc_id in truth:
+            assert r["predicted"] == truth[doc_id]
+    assert [got[i]["predicted"] for i in (900, 901, 902, 903)] == [1, 1, 0, 0]
+    assert got[90]["score"] == got[91]["score"] < 0.5
+
+
+def test_toxicity_without_anything_to_learn(spark):
+    docs = documents(spark, AWKWARD)
+    got = rows_of(toxicity.scored(docs, labels_frame(spark, [])))
+    assert len(got) == len(AWKWARD) and {r["predicted"] for r in got} == {0}
+    assert toxicity.scored(documents(spark, []), labels_frame(spark, [])).collect() == []
+
+
+def test_folding_and_exceptions():
+    assert toxicity.fold("Ｐ1оnkЕR​ $h") == "pionker sh"
+    lexicon = toxicity.Lexicon({"ass": 2.0, "assh": 5.0}, frozenset({"ass milk", "assembly"}))
+    assert lexicon.matches("ass milk assembly ass asshat bass") == [(18, "ass"), (22, "assh")]
+
+
+def plain_features(text):
+    text = text or ""
+    words, seen, dup = WORDS.findall(text), set(), 0
+    for line in text.split("\n"):
+        dup += bool(WORDS.search(line)) and line in seen
+        seen.add(line)
+    threes = Counter(zip(words, words[1:], words[2:]))
+    again = {i + k for i in range(len(words) - 2) if threes[tuple(words[i:i + 3])] > 1 for k in range(3)}
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(again))
+
+
+def test_quality_counts_and_verdicts(spark):
+    good = [(i, " ".join(f"the {w}" if k % 6 else f"{w}. and" for k, w in enumerate(prose(i, 120).split())))
+            for i in range(60)]
+    bad = [(100 + i, re.sub(r"\S+", lambda m: m[0][:2] + "*|#" * 2, prose(i, 80))) for i in range(12)]
+    bad += [(200 + i, "same old line again\n" * 30 + prose(i, 20)) for i in range(6)]
+    rows = [*AWKWARD, *good, *bad, (94, "a b c a b c a b"), (94, "p q\nr\np q\n\n\n p q")]
+    docs = documents(spark, rows, extra=("n_words", "line", "kept"))
+    got = rows_of(quality.verdicts(docs))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    assert sorted((str(r["doc_id"]), *(r[n] for n in names)) for r in got) == sorted(
+        (str(d), *plain_features(t)) for d, t in rows)
+    for r in got:
+        assert r["base_failed"] == (r["n_words"] < 50 or 2 * r["n_repeat_words"] > r["n_words"])
+        assert not (r["kept"] and r["base_failed"])
+    kept = {r["doc_id"] for r in got if r["kept"]}
+    assert kept == {d for d, _ in good}
+    assert quality.verdicts(documents(spark, [])).collect() == []
+
+
+def test_em_finds_the_useful_rules():
+    rng = np.random.default_rng(3)
+    good = rng.random(4000) < 0.85
+    right = np.array([0.95, 0.9, 0.5, 0.85, 0.8, 0.8])
+    votes = np.where((rng.random((4000, 6)) < right) == good[:, None], 1, -1)
+    votes[rng.random((4000, 6)) < 0.2] = 0
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    share, odds = quality.fit(patterns.astype(float), counts.astype(float))
+    assert abs(share - 0.85) < 0.05
+    assert odds[0, 2] - odds[0, 0] > odds[1, 2] - odds[1, 0] > odds[2, 2] - odds[2, 0]
+
+
+def test_licence_lines_are_found_and_placed(spark):
+    notice = {"MIT": "Released under the MIT License.", "GPL": "This work is licensed under the GNU General "
+              "Public License, version 3.", "CC-BY-NC": "Licensed under CC BY-NC 4.0.",
+              "Apache-2.0": "Licensed under the Apache License, Version 2.0."}
+    rows = [*AWKWARD, *((i, prose(i, 60)) for i in range(40))]
+    rows += [(100 + i, f"{prose(i, 30)}\n{text}\n{prose(-i, 20)}") for i, text in enumerate(notice.values())]
+    rows += [(110, "\n".join(notice.values())), (111, "The license of the driver was renewed."),
+             (112, licences.TEMPLATES["BSD"][2].upper())]
+    docs = documents(spark, rows, extra=("families", "line", "best"))
+    got = {r["doc_id"]: r for r in rows_of(licences.scan(docs)) if r["doc_id"] is not None}
+    for i, (family, text) in enumerate(notice.items()):
+        r = got[100 + i]
+        assert r["families"] == [family]
+        body = dict(rows)[100 + i].encode()
+        assert body[r["licences"][0]["start"]:r["licences"][0]["end"]].decode() == text
+    assert got[110]["families"] == sorted(notice) and got[112]["families"] == ["BSD"]
+    assert all(got[i]["families"] == [] and got[i]["best"] is None for i in [*range(40), 90, 91, 111])
+    assert got[90]["n_paragraphs"] == 0
+    assert licences.scan(documents(spark, [])).collect() == []
+
+
+def test_licence_classifier_on_unseen_variants():
+    rng = np.random.default_rng(77)
+    classifier = licences.fit([prose(i, 25).replace("\n", " ") for i in range(300)])
+    texts, truth = [], []
+    for family, templates in licences.TEMPLATES.items():
+        for t in templates:
+            for _ in range(10):
+                words = [w for w in t.split() if rng.random() > 0.1]
+                texts.append(" ".join([*prose(int(rng.integers(1e6)), 4).split(), *words]))
+                truth.append(family)
+    texts += [prose(10_000 + i, 25).replace("\n", " ") for i in range(200)]
+    truth += [licences.UNKNOWN] * 200
+    p = classifier.probabilities(licences._of_texts([t + "\n" for t in texts]))
+    right = np.array([licences.FAMILIES[i] for i in p.argmax(axis=1)]) == np.array(truth)
+    assert right.mean() > 0.95 and right[-200:].all()
+    assert abs(p.max(axis=1).mean() - right.mean()) < 0.12  # probabilities mean what they say
