@@ -4,6 +4,8 @@ from datetime import date, datetime
 
 import pytest
 from helpers import column, raw, raw_row
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from ticketmill import schemas as S
 from ticketmill.plans import loads
@@ -132,3 +134,52 @@ def test_landed_pages_are_taken_once(spark, lake, tmp_path):
     number = table.snapshot(spark, lake.main).number
     assert run() == {"A": "2026-01-12", "B": "2026-01-11"}
     assert table.snapshot(spark, lake.main).number == number
+
+
+BAD_DATES = ["2026-02-31T00:00:00", "soon", "", " 2026-02-11T00:00:00", "2026-02-11", None]
+
+
+@pytest.mark.parametrize("at_once", [True, False])
+def test_unreadable_dates_are_reported_and_the_rest_is_loaded(spark, lake, at_once):
+    bad = [raw_row(f"X{i}", text, "2026-02-11T00:00:00") for i, text in enumerate(BAD_DATES)]
+    result = loads.backfill(spark, lake, feed(spark).unionByName(raw(spark, *bad)), date(2026, 1, 1),
+                            date(2026, 6, 1), at_once=at_once)
+    assert (result.rows, result.failed) == (4, 1)
+    assert result.failures[0][2].startswith("6 records with unreadable created_date")
+    assert sorted(column(table.read(spark, lake.quarantine), "sr_number")) == [f"X{i}" for i in range(6)]
+    assert main_keys(spark, lake) == ["A", "B", "C", "D"]
+    loads.yearly_load(spark, lake, feed(spark), 2026, at_once)
+    assert table.read(spark, lake.quarantine).count() == 0
+
+
+def test_daily_load_sets_unreadable_changes_aside(spark, lake):
+    rows = raw(spark, raw_row("N", "2026-06-01T11:00:00"), raw_row("M", "2026-06-01T11:00:00", "yesterday"))
+    assert loads.daily_load(spark, lake, rows, datetime(2026, 6, 2)) == 1
+    assert column(table.read(spark, lake.quarantine), "sr_number") == ["M"]
+
+
+def loaded(spark, lake, rows, at_once):
+    result = loads.backfill(spark, lake, rows, date(2026, 1, 1), date(2026, 5, 1), at_once=at_once)
+    stored = sorted(tuple(r) for r in table.read(spark, lake.main).select(
+        S.KEY, "created_date", "ward", "current_status", S.VERSION).collect())
+    return result.rows, result.failed, stored
+
+
+def test_a_key_in_two_chunks_keeps_its_first_row(spark, lake):
+    rows = raw(spark, raw_row("A", "2026-01-10T00:00:00", ward="1", status="Open"),
+               raw_row("A", "2026-02-10T00:00:00", ward="2", status="Completed"))
+    affected, _, stored = loaded(spark, lake, rows, True)
+    assert affected == 2
+    assert [(k, c.month, w, s, v.month) for k, c, w, s, v in stored] == [("A", 1, 1, "Completed", 2)]
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.sampled_from("ABC"), st.integers(1, 5), st.integers(1, 5),
+                               st.sampled_from(["7", "8", "x"])), min_size=1, max_size=9))
+def test_one_pass_gives_what_the_loop_gives(spark, tmp_path_factory, rows):
+    # month 5 stands for an unreadable date, ward x for a field that fails its chunk
+    data = [raw_row(k, "soon" if m == 5 else f"2026-0{m}-10T00:00:00", f"2026-0{v}-20T00:00:{i:02d}",
+                    ward=w, status=f"S{v}") for i, (k, m, v, w) in enumerate(rows)]
+    lakes = [loads.Lake(str(tmp_path_factory.mktemp("lake"))) for _ in range(2)]
+    both = [loaded(spark, lake, raw(spark, *data), at_once) for lake, at_once in zip(lakes, (True, False))]
+    assert both[0] == both[1]

@@ -45,7 +45,7 @@ def test_daily_backlog_against_counting(spark, rows):
     first = date(2026, 1, 1)
     data = [(a, first + timedelta(c), None if x is None else first + timedelta(c + x), t)
             for a, c, x, t in rows]
-    stg = tickets(spark, *[
+    stg = tickets(spark, ticket("dup", str(first), community_area=1, duplicate=True), *[
         ticket(f"K{i}", str(c), closed_date=x and str(x), community_area=a, sr_type=t,
                owner_department=f"D{a}") for i, (a, c, x, t) in enumerate(data)])
     got = {(r["snapshot_date"], r["community_area"], r["sr_type"]): r
@@ -59,7 +59,7 @@ def test_daily_backlog_against_counting(spark, rows):
                 if (b, u) == (a, t) and c <= d and (x is None or x > d)]
         assert r["open_requests"] == len(ages)
         assert r["avg_days_open"] == (sum(ages) / len(ages) if ages else None)
-        assert r["requests_older_than_sla"] == (sum(g > 3 for g in ages) if t == "Pothole" else 0)
+        assert r["requests_older_than_sla"] == sum(g > (3 if t == "Pothole" else 14) for g in ages)
         assert r["total_created_today"] == sum((b, c, u) == (a, d, t) for b, c, x, u in data)
         assert (r["owner_department"], r["community_area_name"]) == (f"D{a}", ["North", "South"][a - 1])
 
@@ -85,6 +85,15 @@ def test_monthly_sla(spark):
     assert checks.run_suite(out, checks.CONTRACT_MONTHLY).where(~F.col("passed")).count() == 0
 
 
+def test_types_without_a_target_get_the_default(spark):
+    rows = tickets(spark, *[ticket(f"T{n}", "2026-01-01", closed_date=f"2026-01-{n}", sr_type="Tree",
+                                   current_status="Completed") for n in (15, 16)])
+    stg = staging.stg_service_requests(rows, END)
+    numbers = rules.business_day_numbers(dims.dim_date(dims.fixed_bounds(spark), dims.holidays(spark)))
+    (out,) = as_dicts(rules.monthly_sla(stg, targets(spark), areas(spark), numbers))
+    assert (out["total_closed"], out["total_breached"]) == (2, 1)
+
+
 def test_default_target_and_risk(spark):
     stg = staging.stg_service_requests(tickets(
         spark, ticket("A", "2026-01-10"), ticket("B", "2026-01-28"), ticket("C", "2026-01-10", sr_type="Tree")), END)

@@ -33,6 +33,10 @@ def with_default_target(dim_request_type: DataFrame, days: int = DEFAULT_TARGET_
     )
 
 
+def _or_default(days: str) -> Column:
+    return F.coalesce(days, F.lit(DEFAULT_TARGET_DAYS).cast("bigint"))
+
+
 def business_day_numbers(dim_date: DataFrame) -> DataFrame:
     """Running count of business days; one row per calendar day is all this window sees."""
     up_to = Window.orderBy("date_day").rowsBetween(Window.unboundedPreceding, 0)
@@ -97,13 +101,15 @@ def daily_backlog(stg: DataFrame, targets: DataFrame, areas: DataFrame, end) ->
     changes; those are summed per day before the only running window, which therefore holds
     at most one row per day for an area and type, whatever the number of tickets. Days
     without changes are filled in from the running sums, so no ticket meets a calendar row.
-    ``targets`` has sr_type and target_days; the department shown is the pair's busiest.
+    ``targets`` has sr_type and target_days, types without one get the default; duplicates are
+    left out; the department shown is the pair's busiest.
     """
+    stg = without_duplicates(stg)
     created, closed = F.to_date("created_date"), F.to_date("closed_date")
     last = F.lit(str(end)).cast("date")
     age_day = F.datediff(created, F.lit("1970-01-01").cast("date")).cast("bigint")
     late_from = F.date_add(created, F.col("target_days").cast("int") + 1)
-    goes_late = F.col("target_days").isNotNull() & (closed.isNull() | (closed >= late_from))
+    goes_late = closed.isNull() | (closed >= late_from)
 
     def change(day: Column, opened: Column, days: Column, late: Column, new: Column) -> Column:
         return F.struct(day.alias("day"), opened.alias("opened"), days.alias("day_sum"),
@@ -121,6 +127,7 @@ def daily_backlog(stg: DataFrame, targets: DataFrame, areas: DataFrame, end) ->
     known = stg.where("community_area is not null and sr_type is not null")
     per_day = (
         known.join(targets.select("sr_type", "target_days"), "sr_type", "left")
+        .withColumn("target_days", _or_default("target_days"))
         .select(*pair, F.explode(F.array_compact(changes)).alias("c"))
         .select(*pair, "c.*").where(F.col("day") <= last)
         .groupBy(*pair, "day")
@@ -164,13 +171,14 @@ def monthly_sla(stg: DataFrame, targets: DataFrame, areas: DataFrame,
                 day_numbers: DataFrame) -> DataFrame:
     """Completed tickets per closing month, type, department and area.
 
-    ``targets`` has sr_type and target_days. The equity index compares with the same type
+    ``targets`` has sr_type and target_days; types without one get the default. The equity index compares with the same type
     and month city-wide; its window runs over grouped rows. Tickets are first counted per
     number of days, so the exact median works on weighted day counts, not on tickets.
     """
     done = completed(without_duplicates(stg)).where("closed_date is not null")
     done = with_business_days(
-        done.join(targets.select("sr_type", "target_days"), "sr_type", "left"), day_numbers)
+        done.join(targets.select("sr_type", "target_days"), "sr_type", "left"), day_numbers
+    ).withColumn("target_days", _or_default("target_days"))
     days = F.col("resolution_days")
     grain = ["period_month", "sr_type", "owner_department", "community_area"]
     per_days = done.withColumn("period_month", F.to_date(F.trunc("closed_date", "MM"))).groupBy(
@@ -184,12 +192,13 @@ def monthly_sla(stg: DataFrame, targets: DataFrame, areas: DataFrame,
         F.sum("n").alias("total_closed"),
         F.sum("late").alias("total_breached"),
         F.sum(days * F.col("n")).alias("_days"),
+        F.sum(F.when(days.isNotNull(), F.col("n"))).alias("_known"),
         F.try_divide(F.sum("business"), F.sum("business_known")).alias("avg_business_days_taken"),
         F.percentile(days, 0.5, F.col("n")).alias("median_resolution_days"),
     )
     same = Window.partitionBy("period_month", "sr_type")
-    average = F.col("_days") / F.col("total_closed")
-    city = F.sum("_days").over(same) / F.sum("total_closed").over(same)
+    average = F.try_divide(F.col("_days"), F.col("_known"))
+    city = F.try_divide(F.sum("_days").over(same), F.sum("_known").over(same))
     return (
         grouped.withColumn("avg_resolution_days", average)
         .withColumn("equity_index", F.try_divide(F.col("avg_resolution_days"), city))

@@ -28,4 +28,4 @@ def with_durations(tickets: DataFrame, as_of=None) -> DataFrame:
 
 def stg_service_requests(tickets: DataFrame, as_of=None, audit_column: bool = False) -> DataFrame:
     out = with_durations(without_legacy(tickets.select(*S.TYPED_COLUMNS)), as_of)
-    return out.withColumn("loaded_at", F.current_timestamp()) if audit_column else out
+    return out.withColumn("dbt_loaded_at", F.current_timestamp()) if audit_column else out

@@ -96,7 +96,7 @@ def refresh_fact(spark: SparkSession, path: str, name: str, stg: DataFrame,
     new = table.snapshot(spark, path) is None
     table.create(spark, path, whole.schema, layout or FACTS[name])
     if new or full_refresh:
-        return table.overwrite(spark, path, whole)
+        return table.overwrite(spark, path, whole, allow_empty=True)
     # the newest closing date lies in the newest part; a newest change may lie in any part
     parts = table.newest_part(spark, path) if pick is facts.closed_slice else None
     changed = pick(stg, table.read(spark, path, parts))
@@ -113,7 +113,7 @@ def build_models(spark: SparkSession, root: str, tickets: DataFrame, seeds: Seed
     registered under its name once all of them are there, and returned by name.
     """
     run = f"{root}/builds/{uuid.uuid4().hex}"
-    stg = staging.stg_service_requests(tickets, as_of)
+    stg = staging.stg_service_requests(tickets, as_of, audit_column=True)
     calendar = calendar if calendar is not None else dims.fixed_bounds(spark)
     holiday_dates = holiday_dates if holiday_dates is not None else dims.holidays(spark)
     d = write_dimensions(spark, run, stg, seeds, calendar, holiday_dates, stamp=True)

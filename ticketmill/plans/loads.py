@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ticketmill import schemas as S
 from ticketmill.functions import dates
 from ticketmill.operators import ingest, wap
+from ticketmill.operators.joins import broadcast_if
 from ticketmill.plans.publish import merge_into, written
 from ticketmill.sources import pages, table
 
@@ -32,6 +33,11 @@ class Lake:
     def staging(self) -> str:
         return f"{self.root}/service_requests_staging"
 
+    @property
+    def quarantine(self) -> str:
+        """Records of the last load's pages whose date text could not be read, as landed."""
+        return f"{self.root}/service_requests_quarantine"
+
 
 @dataclass
 class LoadResult:
@@ -46,6 +52,7 @@ def ensure_tables(spark: SparkSession, lake: Lake, granularity: str = "month") -
     main = table.Layout("created_date", granularity, (S.KEY,))
     for root, layout in ((lake.main, main), (lake.staging, table.Layout(None))):
         table.create(spark, root, S.TYPED_SCHEMA, layout)
+    table.create(spark, lake.quarantine, S.RAW_SCHEMA, table.Layout(None))
 
 
 # --- chunks ----------------------------------------------------------------------------
@@ -89,10 +96,24 @@ def chunk_number(day: Column, start: date, chunk_months: int) -> Column:
 def stage(spark: SparkSession, lake: Lake, raw: DataFrame, start: str, end: str,
           date_field: str) -> int:
     """Extract a date range, type it and overwrite staging; the number of rows staged."""
-    batch = ingest.typed_tickets(pages.date_range(raw, date_field, start, end))
+    batch = ingest.typed_tickets(
+        pages.date_range(raw, date_field, start, end).where(pages.readable(date_field)))
     return table.overwrite(spark, lake.staging, batch)
 
 
+def set_aside(spark: SparkSession, lake: Lake, raw: DataFrame, date_field: str) -> int:
+    """Keep the records without a readable ``date_field`` in the quarantine table, which no
+    range of dates can reach; their number. The table shows the pages of this load alone."""
+    bad = ingest.with_missing_columns(raw).where(~pages.readable(date_field))
+    return table.overwrite(spark, lake.quarantine, bad, allow_empty=True)
+
+
+def _report_unreadable(result: LoadResult, rows: int, low: str, high: str, field: str) -> None:
+    if rows:
+        result.failed += 1
+        result.failures.append((low, high, f"{rows} records with unreadable {field}, in quarantine"))
+
+
 def audit_passes(spark: SparkSession, lake: Lake, min_rows: int = 1) -> bool:
     return wap.audit(table.read(spark, lake.staging), min_rows).first()["passed"]
 
@@ -102,6 +123,8 @@ def load_chunks(spark: SparkSession, lake: Lake, raw: DataFrame, start: date, en
     """One write-audit-publish cycle per chunk, in order. A chunk without rows is skipped, a
     failing one is recorded and the loop goes on."""
     result = LoadResult()
+    _report_unreadable(result, set_aside(spark, lake, raw, date_field),
+                       f"{start}T00:00:00.000", f"{end}T00:00:00.000", date_field)
     for low, high in plan_chunks(start, end, chunk_months):
         low_text, high_text = f"{low}T00:00:00.000", f"{high}T00:00:00.000"
         try:
@@ -121,22 +144,57 @@ def load_at_once(spark: SparkSession, lake: Lake, raw: DataFrame, start: date, e
     """All chunks in one pass over the pages, with the audit grouped by chunk.
 
     Chunks that hold an unparsable field or fail the audit are left out and reported, the
-    others are merged together. It gives what :func:`load_chunks` gives (which reads the
-    pages once per chunk) as long as a key stays within one chunk.
+    others are merged together. It gives what :func:`load_chunks` gives, which reads the pages
+    once per chunk.
     """
     low, high = f"{start}T00:00:00.000", f"{end}T00:00:00.000"
-    chunk = chunk_number(F.to_date(F.substring(date_field, 1, 10)), start, chunk_months)
-    ranged = pages.date_range(raw, date_field, low, high).withColumn("_chunk", chunk)
+    result = LoadResult()
+    _report_unreadable(result, set_aside(spark, lake, raw, date_field), low, high, date_field)
+    chunk = chunk_number(F.to_date(dates.try_parse_iso(F.col(date_field))), start, chunk_months)
+    ranged = pages.date_range(raw, date_field, low, high).where(
+        pages.readable(date_field)).withColumn("_chunk", chunk)
     typed = ingest.lenient_tickets(ranged, keep=("_chunk",))
+    plan = plan_chunks(start, end, chunk_months)
     with written(spark, typed) as staged:
         verdicts = wap.audit_by(staged, "_chunk", errors="parse_errors")
         bad = sorted(r["_chunk"] for r in verdicts.where(~F.col("passed")).collect())
+        for i in bad:
+            result.failed += 1
+            result.failures.append((f"{plan[i][0]}T00:00:00.000", f"{plan[i][1]}T00:00:00.000",
+                                    "audit failed"))
         good = staged.where(~F.col("_chunk").isin(bad)) if bad else staged
-        rows = merge_into(spark, lake.main, good.select(*S.TYPED_COLUMNS))["affected"]
-    plan = plan_chunks(start, end, chunk_months)
-    failures = [(f"{plan[i][0]}T00:00:00.000", f"{plan[i][1]}T00:00:00.000", "audit failed")
-                for i in bad]
-    return LoadResult(rows, len(bad), failures)
+        try:
+            result.rows = _merge_rounds(spark, lake, good)
+        except Exception as e:  # reported as a chunk's failure is
+            result.failed += 1
+            result.failures.append((low, high, str(e)))
+    return result
+
+
+def _merge_rounds(spark: SparkSession, lake: Lake, good: DataFrame) -> int:
+    """Merge chunks as if one after the other; the affected rows of all merges.
+
+    The chunks of different keys do not meet, so the first round merges every key's earliest
+    chunk, the next the second chunk of the keys that have one, and so on: one round as a rule.
+    """
+    ends = good.groupBy(S.KEY).agg(F.min("_chunk").alias("first"), F.max("_chunk").alias("last"))
+    with written(spark, ends.where("first <> last").select(S.KEY)) as several:
+        n = several.count()
+        if not n:
+            return merge_into(spark, lake.main, good.select(*S.TYPED_COLUMNS))["affected"]
+        keys = broadcast_if(several, n)
+        nth = F.dense_rank().over(Window.partitionBy(S.KEY).orderBy("_chunk"))
+        again = good.join(keys, S.KEY, "left_semi").withColumn("_nth", nth)
+        with written(spark, again.select(*S.TYPED_COLUMNS, "_nth")) as repeated:
+            rounds = repeated.agg(F.max("_nth")).first()[0]
+            affected = 0
+            for i in range(1, rounds + 1):
+                rows = repeated.where(F.col("_nth") == i).drop("_nth")
+                if i == 1:
+                    once = good.select(*S.TYPED_COLUMNS).join(keys, S.KEY, "left_anti")
+                    rows = rows.unionByName(once)
+                affected += merge_into(spark, lake.main, rows)["affected"]
+            return affected
 
 
 def yearly_load(spark: SparkSession, lake: Lake, raw: DataFrame, year: int,
@@ -180,6 +238,7 @@ def incremental_load(spark: SparkSession, lake: Lake, raw: DataFrame, now: datet
 def _modified_between(spark, lake, raw, since: datetime, until: datetime,
                       properties: dict[str, str] | None = None) -> int:
     low, high = f"{since:%Y-%m-%dT%H:%M:%S.000}".rjust(23, "0"), until.strftime(ISO)
+    set_aside(spark, lake, raw, S.VERSION)
     if not stage(spark, lake, raw, low, high, S.VERSION):
         if properties:
             table.publish(spark, lake.main, table.snapshot(spark, lake.main), None, (), properties)

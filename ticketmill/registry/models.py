@@ -53,7 +53,7 @@ def t04_resolution_days(b: Bed) -> DataFrame:
 @query("SELECT count(*) AS row_count, count(*) AS loaded FROM stg")
 def t05_load_time(b: Bed) -> DataFrame:
     return staging.stg_service_requests(b.log, AS_OF, audit_column=True).agg(
-        F.count(F.lit(1)).alias("row_count"), F.count("loaded_at").alias("loaded"))
+        F.count(F.lit(1)).alias("row_count"), F.count("dbt_loaded_at").alias("loaded"))
 
 
 # --- dimensions ------------------------------------------------------------------------

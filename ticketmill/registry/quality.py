@@ -100,7 +100,7 @@ def v06_contract(b: Bed) -> DataFrame:
 @query(f"""d AS (SELECT 1) SELECT 'accepted_range' AS check_name, 'community_area' AS checked,
     CAST(sum({AS_OF_SQL} - first_day + 1) AS BIGINT) AS failures, false AS passed
   FROM (SELECT sr_type, min(CAST(created_date AS DATE)) AS first_day FROM stg
-        WHERE community_area = 0 GROUP BY ALL)""")
+        WHERE community_area = 0 AND NOT coalesce(duplicate, false) GROUP BY ALL)""")
 def v06_contract_daily(b: Bed) -> DataFrame:
     """Area 0 of the sample lies outside the contract's 1..77; all else must hold."""
     daily = rules.daily_backlog(b.stg, b.targets, b.dims.geography, AS_OF)

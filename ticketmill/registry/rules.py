@@ -71,8 +71,9 @@ def x05_watermark(b: Bed) -> DataFrame:
 
 
 @query(f"""t AS (SELECT s.community_area, s.sr_type, s.owner_department,
-      CAST(created_date AS DATE) AS c, CAST(closed_date AS DATE) AS x, target_days
-    FROM stg s LEFT JOIN targets USING (sr_type)),
+      CAST(created_date AS DATE) AS c, CAST(closed_date AS DATE) AS x,
+      coalesce(target_days, 14) AS target_days
+    FROM stg s LEFT JOIN targets USING (sr_type) WHERE NOT coalesce(duplicate, false)),
   p AS (SELECT community_area, sr_type, min(c) AS first_day FROM t GROUP BY ALL),
   n AS (SELECT community_area, sr_type, owner_department, count(*) AS n FROM t GROUP BY ALL),
   busy AS (SELECT community_area, sr_type, owner_department FROM (
@@ -98,7 +99,7 @@ def x06_daily_backlog(b: Bed) -> DataFrame:
 
 @query("""c AS (SELECT date_day,
       sum(CAST(is_business_day AS BIGINT)) OVER (ORDER BY date_day) AS k FROM dim_date),
-  d AS (SELECT s.*, t.target_days, CAST(c1.k - c0.k AS BIGINT) AS business_days,
+  d AS (SELECT s.*, coalesce(t.target_days, 14) AS target_days, CAST(c1.k - c0.k AS BIGINT) AS business_days,
       CAST(date_trunc('month', closed_date) AS DATE) AS period_month
     FROM stg s LEFT JOIN targets t USING (sr_type)
     LEFT JOIN c c0 ON c0.date_day = CAST(s.created_date AS DATE)

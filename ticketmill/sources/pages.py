@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ticketmill import schemas as S
+from ticketmill.functions import dates
 
 
 def read_raw_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -24,12 +25,18 @@ def write_raw_pages(raw: DataFrame, path: str, page_rows: int = 50_000) -> None:
     raw.write.option("maxRecordsPerFile", page_rows).json(path)
 
 
+def readable(field: str) -> Column:
+    """Whether a record's date text is a time; null, blank, padded and impossible text is not."""
+    return dates.try_parse_iso(F.col(field)).isNotNull()
+
+
 def date_range(df: DataFrame, field: str, start, end) -> DataFrame:
     """Half-open range ``start <= field < end``.
 
     Unparsed records are compared as text, which runs inside the JSON reader: for ISO text
     that is time order once the bounds carry no trailing zeros, as a record may or may not
-    spell its fraction out.
+    spell its fraction out. Text that is no time may fall on either side: loads put such
+    records aside first, see :func:`readable`.
     """
     kind = df.schema[field].dataType
     if isinstance(kind, StringType):
