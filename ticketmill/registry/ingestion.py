@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill import schemas as S
 from ticketmill.operators import ingest, wap
 from ticketmill.operators import operations_board as board
 from ticketmill.plans import build, loads
+from ticketmill.plans.publish import merge_into, upsert_into
 from ticketmill.registry import query
 from ticketmill.registry.oracle import TYPED
 from ticketmill.samples import AS_OF, Bed
@@ -302,6 +303,66 @@ def w05_affected_rows(b: Bed) -> DataFrame:
     return wap.affected(_feed_merge(b))
 
 
+#: The columns that a merge moves (of those that the sample fills), and others.
+MOVED = ("current_status", "closed_date", "last_modified_date", "duplicate", "owner_department")
+STORED = (S.KEY, "created_date", *MOVED, "ward", "sr_type", "community_area", "legacy_record")
+
+
+def _number() -> Column:
+    return F.substring(S.KEY, 3, 9).cast("bigint")
+
+
+def _changed_tickets(b: Bed) -> DataFrame:
+    """Every third ticket with other statuses, wards and dates; the version is newer, equal,
+    older or null."""
+    day = F.expr("interval 1 day")
+    case = _number() % 4
+    version = F.when(case == 0, F.col(S.VERSION) + day).when(case == 1, F.col(S.VERSION)).when(
+        case == 2, F.col(S.VERSION) - day)
+    return b.log.where(_number() % 3 == 0).withColumns({
+        S.VERSION: version, "current_status": F.lit("Changed"), "ward": F.lit(99).cast("bigint"),
+        "closed_date": F.col("created_date") + F.expr("interval 3 days"),
+        "created_date": F.col("created_date") + F.expr("interval 40 days"),
+        "owner_department": F.lit("Moved"), "duplicate": ~F.col("duplicate")})
+
+
+_CHANGED = """t AS (SELECT *, CAST(substr(service_request_number, 3) AS BIGINT) AS n FROM log),
+  s AS (SELECT * REPLACE (
+      CASE n % 4 WHEN 0 THEN last_modified_date + INTERVAL 1 DAY WHEN 1 THEN last_modified_date
+        WHEN 2 THEN last_modified_date - INTERVAL 1 DAY END AS last_modified_date,
+      'Changed' AS current_status, CAST(99 AS BIGINT) AS ward,
+      created_date + INTERVAL 3 DAY AS closed_date, created_date + INTERVAL 40 DAY AS created_date,
+      'Moved' AS owner_department, NOT duplicate AS duplicate) FROM t WHERE n % 3 = 0)"""
+
+
+@query(f"""{_CHANGED},
+  m AS (SELECT t.* REPLACE (UPDATES) FROM t LEFT JOIN s
+        ON s.n = t.n AND s.last_modified_date > t.last_modified_date WHERE t.n % 10 <> 0
+    UNION ALL SELECT * FROM s WHERE n % 10 = 0)
+  SELECT {', '.join(STORED)} FROM m""".replace("UPDATES", ", ".join(
+    f"CASE WHEN s.n IS NULL THEN t.{c} ELSE s.{c} END AS {c}" for c in MOVED)))
+def w04_stored_merge(b: Bed) -> DataFrame:
+    """The merge that loads run, into a stored table: only some columns move."""
+    lake = b.lake()
+    loads.ensure_tables(b.spark, lake)
+    table.overwrite(b.spark, lake.main, b.log.where(_number() % 10 != 0))
+    table.overwrite(b.spark, lake.staging, _changed_tickets(b))
+    merge_into(b.spark, lake.main, table.read(b.spark, lake.staging))
+    return table.read(b.spark, lake.main).select(*STORED)
+
+
+@query(f"""{_CHANGED}
+  SELECT {', '.join(STORED)} FROM (SELECT * FROM t WHERE n % 10 <> 0 AND n % 3 <> 0
+    UNION ALL SELECT * FROM s)""")
+def f12_stored_upsert(b: Bed) -> DataFrame:
+    """The upsert that fact builds run, into a stored table; rows move between months."""
+    lake = b.lake()
+    loads.ensure_tables(b.spark, lake)
+    table.overwrite(b.spark, lake.main, b.log.where(_number() % 10 != 0))
+    upsert_into(b.spark, lake.main, _changed_tickets(b))
+    return table.read(b.spark, lake.main).select(*STORED)
+
+
 @query("""b AS (SELECT CAST(min(created_date) AS DATE) + 14 AS lo,
     CAST(max(created_date) AS DATE) AS hi FROM log),
   f AS (SELECT lo, hi, CAST(unnest(generate_series(date_trunc('month', lo),
@@ -328,6 +389,17 @@ def _expected(low: str, high: str) -> str:
             f"WHERE created_date >= TIMESTAMP '{low}' AND created_date < TIMESTAMP '{high}'")
 
 
+@query(_expected("1995-01-01", "1995-07-01").replace("CAST(0 AS BIGINT)", "CAST(1 AS BIGINT)"))
+def w08_bad_dates(b: Bed) -> DataFrame:
+    """A month of records whose dates are padded: reported and set aside, the rest loads."""
+    bad = F.col("created_date").startswith("1995-07")
+    text = F.when(bad, F.concat(F.lit(" "), "created_date")).otherwise(F.col("created_date"))
+    raw = b.raw.where("created_date < '1995-08'").withColumn("created_date", text)
+    lake = b.lake()
+    result = loads.backfill(b.spark, lake, raw, date(1995, 1, 1), date(1996, 1, 1))
+    return _loaded(b, lake, result)
+
+
 @query(_expected("1995-01-01", "2001-10-15"))
 def w07_chunk_loop(b: Bed) -> DataFrame:
     lake = b.lake()
