@@ -19,6 +19,8 @@ from ticketmill.llm.frames import pick, ship, written
 SAMPLE = 4_000
 #: Code points of the shortest and longest terms; a term is the start of a word.
 SHORTEST, LONGEST = 4, 12
+#: Least share of a term's toxic documents that must differ in the words around it.
+VARIED = 0.3
 #: Documents that must show a benign use before it is an exception.
 BENIGN = 3
 
@@ -111,38 +113,61 @@ def held_out(doc_id: str) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def terms_of(text: str) -> dict[str, str]:
+    """The terms of a text and the words on both sides of each one's first place."""
+    words = ["", *_WORD.findall(fold(text)), ""]
+    found: dict[str, str] = {}
+    for before, word, after in zip(words, words[1:], words[2:]):
+        for n in range(SHORTEST, min(LONGEST, len(word)) + 1):
+            found.setdefault(word[:n], f"{before} {after}")
+    return found
+
+
 def _term_sets(texts: DataFrame) -> DataFrame:
-    """(toxic, term), each term of a document once."""
+    """(toxic, term, around), each term of a document once."""
     def work(batch: pa.RecordBatch) -> dict:
-        labels, terms = [], []
+        labels, terms, around = [], [], []
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            own = {w[:n] for w in set(_WORD.findall(fold(text)))
-                   for n in range(SHORTEST, min(LONGEST, len(w)) + 1)}
-            terms += own
+            own = terms_of(text)
+            terms += own.keys()
+            around += own.values()
             labels += [toxic] * len(own)
-        return {"toxic": pa.array(labels, pa.int32()), "term": pa.array(terms, pa.string())}
+        return {"toxic": pa.array(labels, pa.int32()), "term": pa.array(terms, pa.string()),
+                "around": pa.array(around, pa.string())}
 
-    return per_slice(texts, work, "toxic int, term string")
+    return per_slice(texts, work, "toxic int, term string, around string")
 
 
 def _choose(rows: list, n_toxic: int, n_clean: int, tried: int) -> dict[str, float]:
     """Terms by likelihood ratio, strongest first (of equals the longer), leaving out those that
-    start or extend a chosen one; the bar rises with the number of terms tried."""
+    start or extend a chosen one; the bar rises with the number of terms tried.
+
+    ``rows`` are (term, toxic documents, different surroundings in them, clean documents). What
+    counts for a term are its surroundings, and they must vary: copies of a toxic text make all
+    its words frequent, but always between the same neighbours.
+    """
     total = n_toxic + n_clean
     bar = 2 * math.log(max(tried, 1)) + 1
     scored = []
-    for term, toxic, clean in rows:
+    for term, docs, toxic, clean in rows:
         both = toxic + clean
         g = 2 * sum(x * math.log(x * total / (n * both))
                     for x, n in ((toxic, n_toxic), (clean, n_clean)) if x)
         weight = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
-        if g >= bar and weight >= 2.5:
+        if g >= bar and weight >= 2.5 and toxic >= VARIED * docs:
             scored.append((-g, -len(term), term, weight))
     chosen: dict[str, float] = {}
     for _, _, term, weight in sorted(scored):
         if not any(t.startswith(term) or term.startswith(t) for t in chosen):
             chosen[term] = weight
-    return chosen
+    # a longer start that is nearly as frequent says the same and hits less by chance
+    weights, seen = {t: w for _, _, t, w in scored}, {r[0]: r[2] for r in rows}
+    out = {}
+    for term in chosen:
+        longer = [t for t in weights if t.startswith(term) and seen[t] >= 0.95 * seen[term]]
+        best = max(sorted(longer), key=len)
+        out[best] = weights[best]
+    return out
 
 
 def _uses(lexicon: Lexicon, texts: DataFrame) -> DataFrame:
@@ -209,9 +234,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
         return Model(Lexicon({}), np.array([0.0, 0.0, 30.0 if n_toxic else -30.0]))
     toxic, clean = (F.sum((F.col("toxic") == v).cast("int")) for v in (1, 0))
     counts = written(_term_sets(texts).groupBy("term").agg(
-        toxic.alias("toxic"), clean.alias("clean")).where("toxic >= 3"), "terms")
-    terms = _choose([tuple(r) for r in counts.where("clean * 4 <= toxic").collect()],
-                    n_toxic, n_clean, counts.count())
+        toxic.alias("toxic"), F.count_distinct(F.when(F.col("toxic") == 1, F.col("around"))).alias("varied"),
+        clean.alias("clean")).where("toxic >= 3"), "terms")
+    rows = counts.where("clean * 4 <= toxic").select("term", "toxic", "varied", "clean").collect()
+    terms = _choose([tuple(r) for r in rows], n_toxic, n_clean, counts.count())
     lexicon = Lexicon(terms)
     benign = _uses(lexicon, texts).groupBy("phrase").agg(
         toxic.alias("toxic"), clean.alias("clean")).where((F.col("clean") >= BENIGN) & (F.col("toxic") == 0))
