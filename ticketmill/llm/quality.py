@@ -110,8 +110,8 @@ def rules() -> dict[str, Column]:
         "word_length": _vote((c("word_chars") >= 3 * n) & (c("word_chars") <= 12 * n),
                              (2 * c("word_chars") < 5 * n) | (c("word_chars") > 20 * n)),
         "dup_lines": _vote((c("n_lines") > 1) & (20 * c("n_dup_lines") <= c("n_lines")),
-                           10 * c("n_dup_lines") > 3 * c("n_lines")),
-        "repeats": _vote(100 * c("n_repeat_words") <= 10 * n, 100 * c("n_repeat_words") > 30 * n),
+                           2 * c("n_dup_lines") > c("n_lines")),
+        "repeats": _vote(100 * c("n_repeat_words") <= 10 * n, 100 * c("n_repeat_words") > 40 * n),
         "length": _vote(n >= 100, n < 20),
         "stop_words": _vote(100 * c("n_stop") >= 8 * n, 100 * c("n_stop") < 2 * n),
         "sentences": _vote((100 * c("n_ends") >= 2 * n) & (100 * c("n_ends") <= 25 * n),
@@ -123,7 +123,7 @@ def rules() -> dict[str, Column]:
 def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
     """Share of good documents, and per rule the log odds for good of each vote (-1, 0, 1), by EM
     over the different vote patterns. A rule has an accuracy on good and one on bad documents, as
-    most rules find little wrong with either; abstaining counts as its own outcome.
+    most rules find little wrong with either; abstaining says nothing.
 
     EM starts from documents without a bad vote as mostly good. A bad vote never speaks for a
     document, nor a good one against it.
@@ -135,9 +135,10 @@ def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> tuple[float
         old = odds
         rates = []
         for part in (good, 1 - good):
-            seen = np.einsum("p,prv->rv", counts * part, shown) + 1
+            seen = (np.einsum("p,prv->rv", counts * part, shown) + 1) * [1, 0, 1]
             rates.append(seen / seen.sum(axis=1, keepdims=True))
-        odds = np.log(rates[0] / rates[1])
+        odds = np.zeros_like(odds)
+        odds[:, ::2] = np.log(rates[0][:, ::2] / rates[1][:, ::2])
         odds[:, 0], odds[:, 2] = np.minimum(odds[:, 0], 0), np.maximum(odds[:, 2], 0)
         share = float(np.clip((counts @ good + 1) / (counts.sum() + 2), 0.01, 0.99))
         good = 1 / (1 + np.exp(-(math.log(share / (1 - share)) + np.einsum("rv,prv->p", odds, shown))))
