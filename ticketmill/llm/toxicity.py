@@ -247,8 +247,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
         made = np.array([lexicon.features(t) for t in batch.column("text").to_pylist()])
         return {"weight": made[:, 0], "dense": made[:, 1], "toxic": batch.column("toxic")}
 
-    rows = per_slice(texts, measure, "weight double, dense double, toxic int").orderBy(
-        "toxic", "weight", "dense").toPandas()
+    rows = per_slice(texts, measure, "weight double, dense double, toxic int").toPandas()
+    rows = rows.sort_values(["toxic", "weight", "dense"])  # so that reruns agree to the last bit
     x = Model.shape(rows["weight"].to_numpy(), rows["dense"].to_numpy())
     return Model(lexicon, _logistic(x, rows["toxic"].to_numpy(float)))
 
