@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pytest
 
 from ticketmill.llm import graph, minhash
 from ticketmill.llm.batches import mixed
@@ -71,7 +72,9 @@ def test_estimates_correct_for_chance():
     assert 0.55 < minhash.least_estimate(0.8) < 0.7
 
 
-def test_components_of_long_chains_and_stars(spark):
+@pytest.mark.parametrize("one_task", [10, 1000])
+def test_components_of_long_chains_and_stars(spark, monkeypatch, one_task):
+    monkeypatch.setattr(graph, "ONE_TASK", one_task)
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (202, 201)]
     got = {r["node"]: r["component"] for r in rows_of(graph.components(
         spark.createDataFrame(links, "a long, b long")))}
