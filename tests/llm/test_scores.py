@@ -12,7 +12,7 @@ import pytest
 
 from ticketmill.llm import licences, quality, toxicity
 
-from .frames_for import AWKWARD, WORDS, documents, prose, rows_of
+from .frames_for import AWKWARD, WORDS, documents, edited, prose, rows_of
 
 INSULTS = ["numpty", "gitface", "plonker"]
 
@@ -53,6 +53,25 @@ def test_toxicity_on_held_out_rows(spark, toxic_rows):
     assert got[90]["score"] == got[91]["score"] < 0.5
 
 
+def test_copies_of_a_toxic_text_hide_no_insult_and_make_none(spark):
+    centre = f"{prose(8000, 25)} numpty {prose(8001, 25)}"
+    rows = [(i, centre) for i in range(400)]
+    rows += [(400 + i, edited(centre, i, 0.04).replace("\n", " ")) for i in range(400)]
+    rows += [(1000 + i, f"{prose(i, 20)} numpty {prose(-i - 1, 20)}") for i in range(60)]
+    rows += [(2000 + i, prose(5000 + i, 50)) for i in range(400)]
+    labels = labels_frame(spark, [(i, int(i < 2000)) for i, _ in rows])
+    model = toxicity.train(documents(spark, rows), labels)
+    assert set(model.lexicon.terms) == {"numpty"}
+    low, high = model.scores([prose(9000, 40), f"{prose(9001, 20)} numpty {prose(9002, 20)}"])
+    assert low < 0.5 <= high
+
+
+def test_independent_uses():
+    assert toxicity.independent([]) == 0
+    assert toxicity.independent([("a", "b")] * 500 + [("a", str(i)) for i in range(50)]) == 1
+    assert toxicity.independent([("a", "b")] * 500 + [(str(i), str(i)) for i in range(50)]) == 51
+
+
 def test_toxicity_without_anything_to_learn(spark):
     docs = documents(spark, AWKWARD)
     got = rows_of(toxicity.scored(docs, labels_frame(spark, [])))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -19,8 +20,11 @@ from ticketmill.llm.frames import pick, ship, written
 SAMPLE = 4_000
 #: Code points of the shortest and longest terms; a term is the start of a word.
 SHORTEST, LONGEST = 4, 12
-#: Least share of a term's toxic documents that must differ in the words around it.
-VARIED = 0.3
+#: Uses of a term, independent of each other, that toxic texts must show at least.
+VARIED = 3
+#: Texts, and share of a term's toxic texts, from which equal surroundings are those of a copied
+#: text: the edited copies of it are then no uses of their own.
+COPIED, COPIED_SHARE = 3, 0.1
 #: Documents that must show a benign use before it is an exception.
 BENIGN = 3
 
@@ -138,30 +142,68 @@ def _term_sets(texts: DataFrame) -> DataFrame:
     return per_slice(texts, work, "toxic int, term string, around string")
 
 
-def _choose(rows: list, n_toxic: int, n_clean: int, tried: int) -> dict[str, float]:
-    """Terms by likelihood ratio, strongest first (of equals the longer), leaving out those that
-    start or extend a chosen one; the bar rises with the number of terms tried.
-
-    ``rows`` are (term, toxic documents, different surroundings in them, clean documents). What
-    counts for a term are its surroundings, and they must vary: copies of a toxic text make all
-    its words frequent, but always between the same neighbours.
-    """
+def independent(uses: list[tuple[str, str]]) -> int:
+    """Uses, given as (word before, word after) by text, that are not copies of each other. While
+    one pair holds a large share of what is left, it is a copied text's: it counts once, and with
+    it go the uses that share a neighbour with it, as edited copies do."""
+    left, count = Counter(uses), 0
+    while left:
+        (before, after), n = min(left.items(), key=lambda u: (-u[1], u[0]))
+        if n < COPIED or n < COPIED_SHARE * left.total():
+            return count + len(left)
+        count += 1
+        left = Counter({u: k for u, k in left.items() if u[0] != before and u[1] != after})
+    return count
+
+
+def _independent(texts: DataFrame, terms: frozenset[str]) -> DataFrame:
+    """(term, uses): independent uses of each of ``terms`` in the toxic texts."""
+    def find(batch: pa.RecordBatch) -> dict:
+        found = [(t, around) for text in batch.column("text").to_pylist()
+                 for t, around in terms_of(text).items() if t in terms]
+        return {"term": pa.array([t for t, _ in found], pa.string()),
+                "around": pa.array([a for _, a in found], pa.string())}
+
+    def count(batch: pa.RecordBatch) -> dict:
+        uses = [independent([tuple(a.split(" ")) for a in around])
+                for around in batch.column("around").to_pylist()]
+        return {"term": batch.column("term"), "uses": pa.array(uses, pa.int64())}
+
+    found = per_slice(texts.where("toxic = 1"), find, "term string, around string")
+    lists = found.groupBy("term").agg(F.collect_list("around").alias("around"))
+    return per_slice(lists, count, "term string, uses bigint", column="term")
+
+
+def _scored(rows: list, n_toxic: int, n_clean: int, tried: int) -> list[tuple]:
+    """(-likelihood ratio, -length, term, weight) of the (term, toxic, clean) that reach the bar,
+    which rises with the number of terms tried."""
     total = n_toxic + n_clean
     bar = 2 * math.log(max(tried, 1)) + 1
     scored = []
-    for term, docs, toxic, clean in rows:
+    for term, toxic, clean in rows:
         both = toxic + clean
         g = 2 * sum(x * math.log(x * total / (n * both))
                     for x, n in ((toxic, n_toxic), (clean, n_clean)) if x)
         weight = math.log((toxic + 0.5) / (n_toxic + 1)) - math.log((clean + 0.5) / (n_clean + 1))
-        if g >= bar and weight >= 2.5 and toxic >= VARIED * docs:
+        if g >= bar and weight >= 2.5 and toxic >= VARIED:
             scored.append((-g, -len(term), term, weight))
+    return scored
+
+
+def _choose(rows: list, n_toxic: int, n_clean: int, tried: int) -> dict[str, float]:
+    """Terms by likelihood ratio, strongest first (of equals the longer), leaving out those that
+    start or extend a chosen one.
+
+    ``rows`` are (term, independent uses in toxic texts, clean texts). Copies of a toxic text make
+    all its words frequent, but add one use to each however many there are.
+    """
+    scored = _scored(rows, n_toxic, n_clean, tried)
     chosen: dict[str, float] = {}
     for _, _, term, weight in sorted(scored):
         if not any(t.startswith(term) or term.startswith(t) for t in chosen):
             chosen[term] = weight
     # a longer start that is nearly as frequent says the same and hits less by chance
-    weights, seen = {t: w for _, _, t, w in scored}, {r[0]: r[2] for r in rows}
+    weights, seen = {t: w for _, _, t, w in scored}, {r[0]: r[1] for r in rows}
     out = {}
     for term in chosen:
         longer = [t for t in weights if t.startswith(term) and seen[t] >= 0.95 * seen[term]]
@@ -223,21 +265,26 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
-    """A model from the texts of at most ``2 * most`` labelled rows. Without a toxic and a clean
-    row among them there is nothing to learn: every score is 0 or 1 accordingly."""
+    """A model from the different texts of at most ``2 * most`` labelled rows. Without a toxic and
+    a clean row among them there is nothing to learn: every score is 0 or 1 accordingly."""
     ids = train_rows(labels, most)
     slim = pick(docs, "doc_id", "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = written(slim.join(F.broadcast(ids), "doc_id").select("text", "toxic"), "labelled")
+    texts = written(slim.join(F.broadcast(ids), "doc_id").select("text", "toxic").distinct(),
+                    "labelled")
     sizes = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return Model(Lexicon({}), np.array([0.0, 0.0, 30.0 if n_toxic else -30.0]))
     toxic, clean = (F.sum((F.col("toxic") == v).cast("int")) for v in (1, 0))
     counts = written(_term_sets(texts).groupBy("term").agg(
-        toxic.alias("toxic"), F.count_distinct(F.when(F.col("toxic") == 1, F.col("around"))).alias("varied"),
-        clean.alias("clean")).where("toxic >= 3"), "terms")
-    rows = counts.where("clean * 4 <= toxic").select("term", "toxic", "varied", "clean").collect()
-    terms = _choose([tuple(r) for r in rows], n_toxic, n_clean, counts.count())
+        F.count_distinct(F.when(F.col("toxic") == 1, F.col("around"))).alias("varied"),
+        toxic.alias("toxic"), clean.alias("clean")).where("toxic >= 3"), "terms")
+    rows = counts.where("clean * 4 <= toxic").select("term", "varied", "clean").collect()
+    tried = counts.count()
+    clean_of = {r["term"]: r["clean"] for r in rows}
+    hopeful = frozenset(t for _, _, t, _ in _scored([tuple(r) for r in rows], n_toxic, n_clean, tried))
+    uses = _independent(texts, hopeful).collect() if hopeful else []
+    terms = _choose([(r["term"], r["uses"], clean_of[r["term"]]) for r in uses], n_toxic, n_clean, tried)
     lexicon = Lexicon(terms)
     benign = _uses(lexicon, texts).groupBy("phrase").agg(
         toxic.alias("toxic"), clean.alias("clean")).where((F.col("clean") >= BENIGN) & (F.col("toxic") == 0))
