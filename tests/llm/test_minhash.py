@@ -52,6 +52,29 @@ def test_against_plain_version(spark, monkeypatch):
     assert sorted(got, key=str) == plain(rows)
 
 
+def test_unlinked_members_are_cut_into_tiles(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rows = [(5, i, 0 if i < 40 else 1000 + i // 2, b"") for i in range(240)] + [(6, i, 0, b"") for i in range(9)]
+    placed = spark.createDataFrame(rows, "key long, doc_id long, component long, packed binary")
+    made = {}
+    for r in rows_of(minhash.tiles(placed)):
+        made.setdefault((r["key"], r["block"]), []).append((r["doc_id"], r["side"]))
+    assert max(map(len, made.values())) < 4 * 16  # two blocks, cut by hash
+    met = [(min(a, b), max(a, b)) for tile in made.values() for a, s in tile for b, t in tile
+           if (s, t) == (minhash.LEFT, minhash.RIGHT) or s == t == minhash.BOTH and a < b]
+    assert len(met) == len(set(met))
+    assert set(met) == {(a, b) for a in range(240) for b in range(max(40, a + 1), 240)}
+
+
+def test_near_but_unlinked_copies_of_a_template(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    centre = prose(80, 120)
+    rows = [(i, edited(centre, 900 + i, 0.035 if i % 4 else 0.02)) for i in range(120)]
+    got = [tuple(r.values()) for r in rows_of(minhash.by_four_words(documents(spark, rows)))]
+    assert sorted(got, key=str) == plain(rows)
+    assert 1 < len({r[2] for r in got}) < 120
+
+
 def test_empty_table_and_one_of_each(spark):
     assert minhash.near_duplicates(documents(spark, [])).collect() == []
     rows = [(1, prose(1, 60)), (2, prose(1, 60)), (3, prose(2, 60)), (4, None)]

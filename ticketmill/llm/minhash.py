@@ -7,7 +7,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticketmill.llm.batches import BASE, U64, flat, mixed, per_slice, shingles, word_hashes
@@ -23,6 +23,8 @@ BITS = 4
 BLOCK = 400
 #: A shingle table up to this many documents is sent to every executor (8 bytes each).
 SEND = 1_000_000
+#: What a member of a tile is compared with: the right members, the left ones, or all others.
+LEFT, RIGHT, BOTH = 1, 2, 3
 
 _rng = np.random.default_rng(6)
 FACTORS = _rng.integers(0, 2**63, BANDS * ROWS, np.uint64) * U64(2) + U64(1)
@@ -83,12 +85,14 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
     return per_slice(docs, work, schema)
 
 
-def estimates(packed: np.ndarray) -> np.ndarray:
-    """Similarity of all rows to each other: share of equal low bits, less chance hits."""
+def estimates(packed: np.ndarray, others: np.ndarray | None = None) -> np.ndarray:
+    """Similarity of all rows to ``others`` (to each other, if not given): share of equal low
+    bits, less chance hits."""
     low = _unpack(packed)
-    equal = np.zeros((len(low), len(low)), np.uint16)
-    for column in low.T:
-        equal += column[:, None] == column[None]
+    right = low if others is None else _unpack(others)
+    equal = np.zeros((len(low), len(right)), np.uint16)
+    for column, of_right in zip(low.T, right.T):
+        equal += column[:, None] == of_right[None]
     chance = 1 / 2**BITS
     return (equal / low.shape[1] - chance) / (1 - chance)
 
@@ -123,23 +127,65 @@ def _forest(est: np.ndarray, group: np.ndarray, least: float) -> list[tuple[int,
     return out
 
 
+def tiles(placed: DataFrame) -> DataFrame:
+    """(key, block, doc_id, component, packed, side) from (key, doc_id, component, packed): what
+    must be compared so that each member outside its bucket's largest component meets the whole
+    bucket.
+
+    The loose members are cut into blocks of about BLOCK, and so are those of the largest
+    component. Each block of loose ones (LEFT) meets each of the others (RIGHT), each later block
+    of loose ones (RIGHT), and itself (BOTH). So a tile has about 2 * BLOCK members at most,
+    however many are loose, and a pair is in one tile.
+    """
+    counts = placed.groupBy("key", "component").count()
+    main = written(counts.groupBy("key").agg(
+        F.max(F.struct("count", (-F.col("component")).alias("least"))).alias("top"),
+        F.sum("count").alias("members"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "key", (-F.col("top.least")).alias("main"),
+        F.ceil(F.col("top.count") / BLOCK).cast("bigint").alias("others"),
+        F.ceil((F.col("members") - F.col("top.count")) / BLOCK).cast("bigint").alias("loose")), "main")
+    cut = F.xxhash64("key", "doc_id")
+    open_ = placed.join(main, "key").withColumn("is_loose", F.col("component") != F.col("main"))
+    open_ = open_.withColumn("at", F.pmod(cut, F.when(F.col("is_loose"), F.col("loose"))
+                                          .otherwise(F.col("others"))))
+    at, others, loose = F.col("at"), F.col("others"), F.col("loose")
+
+    def tile(row: Column, column: Column, side: int) -> Column:
+        return F.struct((row * (others + loose) + column).alias("block"), F.lit(side).alias("side"))
+
+    every_loose = F.sequence(F.lit(0).cast("bigint"), loose - 1)
+    every_other = F.sequence(F.lit(0).cast("bigint"), others - 1)
+    of_loose = F.concat(
+        F.transform(every_other, lambda j: tile(at, j, LEFT)),
+        F.transform(F.filter(every_loose, lambda j: j > at), lambda j: tile(at, others + j, LEFT)),
+        F.transform(F.filter(every_loose, lambda i: i < at), lambda i: tile(i, others + at, RIGHT)),
+        F.array(tile(at, others + at, BOTH)))
+    of_main = F.transform(every_loose, lambda i: tile(i, at, RIGHT))
+    return open_.select("key", "doc_id", "component", "packed", F.explode(
+        F.when(F.col("is_loose"), of_loose).otherwise(of_main)).alias("tile")).select(
+        "key", "tile.block", "doc_id", "component", "packed", "tile.side")
+
+
 def _candidates(members: DataFrame, least: float, every: bool) -> DataFrame:
-    """Pairs (a, b) inside blocks of (key, block, doc_id, component, packed, own): a spanning
-    forest each, or every pair of different components with an own member of the block."""
+    """Pairs (a, b) inside blocks of (key, block, doc_id, component, packed, side): a spanning
+    forest each, or every pair of different components between LEFT and RIGHT, or inside BOTH."""
     def block_pairs(key_rows: pa.Table):
         ids = key_rows.column("doc_id").to_numpy()
         _, group = np.unique(key_rows.column("component").to_numpy(), return_inverse=True)
         if len(ids) < 2 or group.max() == 0:
             return
         packed = np.frombuffer(b"".join(key_rows.column("packed").to_pylist()), np.uint8)
-        est = estimates(packed.reshape(len(ids), -1))
+        packed = packed.reshape(len(ids), -1)
         if every:
-            a, b = np.nonzero((est >= least) & (group[:, None] != group[None]))
-            own = key_rows.column("own").to_numpy()
-            use = (ids[a] < ids[b]) & (own[a] | own[b])
+            side = key_rows.column("side").to_numpy()
+            left, right = np.flatnonzero(side != RIGHT), np.flatnonzero(side != LEFT)
+            near = estimates(packed[left], packed[right]) >= least
+            a, b = np.nonzero(near & (group[left][:, None] != group[right][None]))
+            a, b = left[a], right[b]
+            use = (side[a] != BOTH) | (ids[a] < ids[b])
             a, b = a[use], b[use]
         else:
-            found = np.array(_forest(est, group, least), np.int64).reshape(-1, 2)
+            found = np.array(_forest(estimates(packed), group, least), np.int64).reshape(-1, 2)
             a, b = found.T
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], ["a", "b"])
@@ -200,7 +246,7 @@ def near_links(signatures: DataFrame, docs: DataFrame, size: int, similarity: fl
     hash that differs from band to band, and each block proposes a spanning forest, so copies
     of one text are never paired each with each and a large group still hangs together over its
     bands. Members that are then outside their bucket's largest component are held against the
-    whole bucket, block by block, so no link between components is left out.
+    whole bucket, tile by tile, so no link between components is left out.
     """
     least = least_estimate(similarity)
     banded = signatures.select("doc_id", "packed", F.explode("bands").alias("key"))
@@ -211,29 +257,15 @@ def near_links(signatures: DataFrame, docs: DataFrame, size: int, similarity: fl
             "block", F.pmod(F.xxhash64("key", "doc_id"), F.col("blocks")).cast("int")), "members")
     first = _candidates(
         buckets.select("key", "block", "doc_id", F.col("doc_id").alias("component"), "packed",
-                       F.lit(True).alias("own")), least, False)
+                       F.lit(BOTH).alias("side")), least, False)
     first = written(first, "pairs")
     links = written(confirmed(first, docs, size, similarity), "near")
     found = components(links)
     placed = written(
         buckets.join(found, buckets["doc_id"] == found["node"], "left")
-        .select("key", "block", "blocks", "doc_id", "packed",
+        .select("key", "doc_id", "packed",
                 F.coalesce("component", "doc_id").alias("component")), "placed")
-    counts = placed.groupBy("key", "component").count()
-    main = written(counts.groupBy("key").agg(
-        F.max(F.struct("count", (-F.col("component")).alias("least"))).alias("top"),
-        F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        "key", (-F.col("top.least")).alias("main")), "main")
-    open_ = written(placed.join(main, "key"), "open")
-    own = open_.select("key", "block", "doc_id", "component", "packed", F.lit(False).alias("own"))
-    loose = open_.where(F.col("component") != F.col("main")).select(
-        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"), "block", "doc_id",
-        "component", "packed")
-    visiting = loose.select("key", F.col("at").alias("block"), "doc_id", "component", "packed",
-                            F.lit(True).alias("own"))
-    members = own.join(loose.where(F.col("at") == F.col("block")).select("key", "doc_id"),
-                       ["key", "doc_id"], "left_anti").unionByName(visiting)
-    second = written(_candidates(members, least, True), "pairs").join(
+    second = written(_candidates(tiles(placed), least, True), "pairs").join(
         first, ["a", "b"], "left_anti")
     return links.union(confirmed(written(second, "pairs"), docs, size, similarity))
 
