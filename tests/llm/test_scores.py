@@ -148,6 +148,23 @@ def test_licence_lines_are_found_and_placed(spark):
     assert licences.scan(documents(spark, [])).collect() == []
 
 
+def test_licence_titles_identifiers_and_other_paragraphs(spark):
+    lines = {
+        "MIT License": "MIT", "ISC License": "ISC", "BSD License": "BSD", "BSD 3-Clause License": "BSD",
+        "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "SPDX-License-Identifier: GPL-3.0-or-later": "GPL", "SPDX-License-Identifier: BSD-2-Clause": "BSD",
+        " * SPDX-License-Identifier: MPL-2.0": "MPL-2.0", "SPDX-License-Identifier: ISC": "ISC",
+        "SPDX-License-Identifier: CC0-1.0": "CC0",
+        "1. Redistributions of source code must retain the above copyright": "BSD",
+        "copies or substantial portions of the Software.": "MIT",
+        "distributed under the License is distributed on an \"AS IS\" BASIS,": "Apache-2.0"}
+    other = ["SPDX-License-Identifier: EPL-2.0", "License", "Public", "The new hospital", "Terms of use"]
+    rows = [(i, t) for i, t in enumerate([*lines, *other])] + [(100 + i, prose(i, 60)) for i in range(60)]
+    got = {r["doc_id"]: r["families"] for r in rows_of(licences.scan(documents(spark, rows)))}
+    assert {t: got[i] for i, t in enumerate(lines)} == {t: [f] for t, f in lines.items()}
+    assert all(got[i] == [] for i in got if i >= len(lines))
+
+
 def test_licence_classifier_on_unseen_variants():
     rng = np.random.default_rng(77)
     classifier = licences.fit([prose(i, 25).replace("\n", " ") for i in range(300)])

@@ -22,6 +22,11 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "software and associated documentation files, to deal in the Software without restriction, "
         "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
         "sublicense, and/or sell copies of the Software.",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+        "In no event shall the authors or copyright holders be liable for any claim, damages or "
+        "other liability, whether in an action of contract, tort or otherwise, arising from, out of "
+        "or in connection with the Software or the use or other dealings in the Software.",
     ),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -29,6 +34,11 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "file except in compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0",
         "Released under the Apache 2.0 license.",
+        "Unless required by applicable law or agreed to in writing, software distributed under the "
+        "License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+        "either express or implied.",
+        "See the License for the specific language governing permissions and limitations under the "
+        "License.",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -53,10 +63,20 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the 3-Clause BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met.",
+        "Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission.",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/.",
     ),
     "ISC": (
         "Released under the ISC license.",
@@ -85,8 +105,37 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "Unlicense": (
         "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means.",
     ),
 }
+#: Titles, and the identifiers that SPDX lines name. Each word of them counts.
+TITLES: dict[str, tuple[str, ...]] = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "Apache-2.0": ("Apache License", "Apache License 2.0", "Apache License, Version 2.0"),
+    "GPL": ("GNU General Public License", "GNU GPL", "GNU GPL v3", "GPL v3", "GPL v2"),
+    "LGPL": ("GNU Lesser General Public License", "GNU LGPL", "GNU LGPL v3"),
+    "AGPL": ("GNU Affero General Public License", "GNU AGPL", "GNU AGPL v3"),
+    "BSD": ("BSD License", "BSD 3-Clause License", "BSD 2-Clause License", "The BSD License",
+            "New BSD License", "Simplified BSD License"),
+    "MPL-2.0": ("Mozilla Public License", "Mozilla Public License Version 2.0", "MPL 2.0"),
+    "ISC": ("ISC License", "The ISC License"),
+    "CC0": ("CC0 1.0 Universal", "Creative Commons CC0 1.0"),
+    "CC-BY": ("CC BY 4.0", "CC BY 3.0"),
+    "CC-BY-SA": ("CC BY-SA 4.0", "CC BY-SA 3.0"),
+    "CC-BY-NC": ("CC BY-NC 4.0", "CC BY-NC 3.0"),
+    "Unlicense": ("The Unlicense",),
+}
+SPDX: dict[str, tuple[str, ...]] = {
+    "MIT": ("MIT",), "Apache-2.0": ("Apache-2.0",), "ISC": ("ISC",), "MPL-2.0": ("MPL-2.0",),
+    "GPL": ("GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "LGPL": ("LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"),
+    "AGPL": ("AGPL-3.0-only", "AGPL-3.0-or-later"), "BSD": ("BSD-2-Clause", "BSD-3-Clause"),
+    "CC0": ("CC0-1.0",), "CC-BY": ("CC-BY-4.0", "CC-BY-3.0"), "Unlicense": ("Unlicense",),
+    "CC-BY-SA": ("CC-BY-SA-4.0", "CC-BY-SA-3.0"), "CC-BY-NC": ("CC-BY-NC-4.0", "CC-BY-NC-3.0"),
+}
+SPDX_LINE = "SPDX-License-Identifier:"
 #: Wording about licences that grants none; taught as unknown.
 OTHER = (
     "All rights reserved.", "See the license agreement for details.",
@@ -96,6 +145,8 @@ OTHER = (
     "The work of the Massachusetts institute was free of charge to any person.",
     "Copyright holders may license their work under the terms they choose.",
     "Please read the terms of service before use.", "The software is provided for a fee.",
+    f"{SPDX_LINE} EPL-2.0", f"{SPDX_LINE} LicenseRef-Proprietary", f"{SPDX_LINE} Zlib",
+    "License", "Licence terms", "License Agreement", "Driver License", "Public License",
 )
 UNKNOWN = "unknown"
 FAMILIES = (UNKNOWN, *TEMPLATES)
@@ -179,6 +230,11 @@ def _dense(p: Paragraphs) -> np.ndarray:
     return x
 
 
+def _short() -> dict[str, list[str]]:
+    """Titles, and lines with an SPDX identifier, of each family."""
+    return {f: [*TITLES[f], *(f"{SPDX_LINE} {x}" for x in SPDX[f])] for f in TEMPLATES}
+
+
 def _examples(background: list[str]) -> tuple[list[str], np.ndarray]:
     """Templates and their seeded variants (words lost, cut ends, words of the corpus around),
     the background, and mixed-up wording that must stay unknown."""
@@ -197,6 +253,11 @@ def _examples(background: list[str]) -> tuple[list[str], np.ndarray]:
                 kept = [w for w in words_ if k < 6 or rng.random() > 0.08]
                 extra = [str(x) for x in rng.choice(plain, rng.integers(0, 9))] if k % 2 else []
                 put(" ".join(extra + kept if k % 4 == 1 else kept + extra), family)
+    for family, own in _short().items():
+        for t in own:
+            for k in range(12):
+                extra = [str(x) for x in rng.choice(plain, k % 3)]
+                put(" ".join([*extra, t] if k % 2 else [t, *extra]), family)
     vocabulary = [w for ts in TEMPLATES.values() for t in ts for w in t.split()]
     for t in OTHER:
         for _ in range(8):
@@ -243,16 +304,21 @@ def fit(background: list[str], rounds: int = 150) -> Classifier:
 
 @lru_cache(maxsize=1)
 def _template_triples() -> dict[str, list[set]]:
+    """Word triples of each template; the one word or pair of a shorter one."""
+    prefix = _of_texts([SPDX_LINE + "\n"]).triples(0)  # found before any identifier: confirms none
     out = {}
     for family, templates in TEMPLATES.items():
-        p = _of_texts([t + "\n" for t in templates])
-        out[family] = [p.triples(i) for i in range(len(p.first))]
+        p = _of_texts([t + "\n" for t in [*templates, *_short()[family]]])
+        out[family] = [p.triples(i) - prefix for i in range(len(p.first))]
     return out
 
 
 def _alike(triples: set, family: str) -> float:
-    return max(len(triples & t) / len(t) if len(t) <= len(triples) else len(triples & t) / len(triples)
-               for t in _template_triples()[family])
+    """Share of the smaller side that the other holds. A paragraph of one or two words is held
+    against titles of as many words only, as it has no triple."""
+    n = len(next(iter(triples)))
+    return max((len(triples & t) / min(len(t), len(triples)) for t in _template_triples()[family]
+                if len(next(iter(t))) == n), default=0.0)
 
 
 def background(docs: DataFrame, most: int = BACKGROUND) -> list[str]:
