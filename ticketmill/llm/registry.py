@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketmill.llm import licences, lines, minhash, mixing, neighbours, pieces, quality, repeats, toxicity, wrappers
+from ticketmill.llm import (licences, lines, minhash, mixing, neighbours, pieces, quality, repeats,
+                            toxicity, variants, whitening, wrappers)
 
 
 def _over(table: str, fn: Callable[[DataFrame], DataFrame]):
@@ -27,6 +28,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": _over("documents", quality.verdicts),
         "op9_licence_scan": _over("documents", licences.scan),
         "op10_html_text": _over("pages", wrappers.extract),
+        "op12_spelling_variants": _over("documents", variants.grouped),
+        "op13_whitening": _over("embeddings", whitening.whiten),
     }
 
 
@@ -37,4 +40,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_suffix_dedup": repeats.SQL,
         "op5_source_mix": mixing.SQL,
         "op6_minhash_dedup": minhash.SQL,
+        "op12_spelling_variants": variants.SQL,
     }
