@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketmill.llm import (licences, lines, minhash, mixing, neighbours, pieces, quality, repeats,
+from ticketmill.llm import (languages, licences, lines, minhash, mixing, neighbours, pieces, quality, repeats,
                             toxicity, variants, whitening, wrappers)
 
 
@@ -28,6 +28,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": _over("documents", quality.verdicts),
         "op9_licence_scan": _over("documents", licences.scan),
         "op10_html_text": _over("pages", wrappers.extract),
+        "op11_language": _over("documents", languages.predicted),
         "op12_spelling_variants": _over("documents", variants.grouped),
         "op13_whitening": _over("embeddings", whitening.whiten),
     }
