@@ -51,7 +51,8 @@ def ship(spark: SparkSession) -> None:
     top = Path(__file__).resolve().parents[1]
     archive = Path(tempfile.mkdtemp(prefix="run-ticketmill-")) / "ticketmill_llm.zip"
     with zipfile.ZipFile(archive, "w") as z:
-        for f in [top / "__init__.py", top / "session.py", *sorted((top / "llm").glob("*.py"))]:
+        shared = ("__init__.py", "session.py", "operators/__init__.py", "operators/joins.py")
+        for f in [*(top / name for name in shared), *sorted((top / "llm").glob("*.py"))]:
             z.write(f, f"{top.name}/{f.relative_to(top)}")
     spark.sparkContext.addPyFile(str(archive))
     _shipped.add(app)
