@@ -124,6 +124,18 @@ def test_scores_in_parts_are_the_same(model, monkeypatch):
     assert np.allclose(whole[0][model.candidates[w.script[0]]], expected[model.candidates[w.script[0]]])
 
 
+def test_repeated_words_are_scored_once_and_alike(model, monkeypatch):
+    w = languages.words(["ba kori ba", None, "kori Ba x", "abba"])
+    first, again = languages.distinct(w)
+    assert len(first) == 4 and again[0] == again[2] == again[4] and again[1] == again[3]
+    whole = model.scores(w)
+    monkeypatch.setattr(languages, "mixed", lambda x: x * languages.U64(0))  # all words of one hash
+    assert np.array_equal(languages.distinct(w)[0], np.arange(7))
+    monkeypatch.undo()
+    monkeypatch.setattr(languages, "distinct", lambda w: (np.arange(7), np.arange(7)))
+    assert np.array_equal(model.scores(w), whole)
+
+
 def test_scripts_narrow_and_one_script_left(model):
     latin, cyrillic = languages.NAMES.index("latin"), languages.NAMES.index("cyrillic")
     assert dict(zip(model.names, model.candidates[latin])) == {"aa": True, "bb": True, "ru": False}

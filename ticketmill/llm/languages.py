@@ -24,6 +24,7 @@ from ticketmill.llm.frames import pick, ship, written
 SAMPLE, LANGUAGES = 1_000, 256
 #: Lengths of n-grams, a word's ends included, and the classes that they are hashed into.
 GRAMS, CLASSES = (1, 2, 3, 4), 1 << 16
+BLOCK = CLASSES // len(GRAMS)
 #: Added to every class's count, so that an unseen n-gram is unlikely and not impossible.
 SMOOTHING = 0.5
 #: What a change of language costs, in nats; a word's score is its n-grams' mean over GRAMS.
@@ -121,7 +122,7 @@ def words(texts: list[str | None]) -> Words:
         whole = np.repeat(end, pieces)
         start = np.repeat(start, pieces) + nth * PIECE
         end = np.where(np.repeat(pieces, pieces) > 1, np.minimum(start + PIECE, whole), whole)
-    return Words(doc[start], start, end, script[start].astype(np.int64), lower[codes], offsets)
+    return Words(doc[start], start, end, script[start].astype(np.int64), lower[codes].astype(U64), offsets)
 
 
 def grams(w: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -131,17 +132,17 @@ def grams(w: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     first = np.cumsum(size) - size
     word = np.repeat(np.arange(len(size)), size)
     at = np.arange(len(word)) - first[word]
-    inside = (at > 0) & (at < size[word] - 1)
-    codes = np.zeros(len(word), U64)
-    codes[inside] = w.codes[(w.start[word] + at - 1)[inside]].astype(U64) + U64(1)
-    block = CLASSES // len(GRAMS)
-    for k, n in enumerate(GRAMS):
-        starts = np.flatnonzero(inside if n == 1 else at + n <= size[word])
-        key = np.full(len(starts), n, U64)
-        for i in range(n):
-            key = key * BASE + codes[starts + i]
-        classes = (mixed(key) % U64(block)).astype(np.int64) + block * k
-        yield classes, np.bincount(word[starts], minlength=len(size))
+    left = np.repeat(size, size) - at
+    inside = (at > 0) & (left > 1)
+    codes = np.zeros(len(word) + max(GRAMS), U64)
+    codes[:-max(GRAMS)][inside] = w.codes[(w.start[word] + at - 1)[inside]] + U64(1)
+    key = np.zeros(len(word), U64)
+    for n in range(1, max(GRAMS) + 1):
+        key = key * BASE + codes[n - 1:len(word) + n - 1]
+        if n in GRAMS:
+            found = mixed(key[inside if n == 1 else left >= n] + U64(n)) & U64(BLOCK - 1)
+            many = size - 2 if n == 1 else np.maximum(size - n + 1, 0)
+            yield found.astype(np.int64) + BLOCK * GRAMS.index(n), many
 
 
 # --- the model -----------------------------------------------------------------------------
@@ -156,9 +157,12 @@ class Model:
     candidates: np.ndarray
 
     def scores(self, w: Words) -> np.ndarray:
-        """Words by languages: the mean over GRAMS of the log shares of a word's n-grams."""
-        out = np.zeros((len(w.start), len(self.names)), np.float32)
-        for classes, many in grams(w):
+        """Words by languages: the mean over GRAMS of the log shares of a word's n-grams. A word
+        that comes several times is scored once."""
+        first, again = distinct(w)
+        own = Words(w.doc[first], w.start[first], w.end[first], w.script[first], w.codes, w.offsets)
+        out = np.zeros((len(first), len(self.names)), np.float32)
+        for classes, many in grams(own):
             ends = np.cumsum(many)
             low = 0
             while low < len(many):  # so many words at once that their n-grams' scores fit
@@ -171,8 +175,26 @@ class Model:
                 low = high
         out /= len(GRAMS)
         # a script that no language was seen in bars none
-        out[~self.candidates[w.script]] = BARRED
-        return out
+        out[~self.candidates[own.script]] = BARRED
+        return out[again]
+
+
+def distinct(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct word, and for every word which of them it equals. Words are
+    sorted by hash, and compared letter by letter with the first of their hash."""
+    size = w.end - w.start
+    if not len(size):
+        return size, size
+    at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    letters = np.repeat(w.start, size) + at
+    h = np.add.reduceat((w.codes[letters] + U64(1)) * mixed(at.astype(U64)), np.cumsum(size) - size)
+    _, first, again = np.unique(h, return_index=True, return_inverse=True)
+    same = size[first][again] == size
+    if same.all():
+        same = w.codes[np.repeat(w.start[first][again], size) + at] == w.codes[letters]
+    if not same.all():  # two words of one hash: every word stands for itself
+        return np.arange(len(size)), np.arange(len(size))
+    return first, again
 
 
 def best_path(scores: np.ndarray, doc: np.ndarray, switch: float = SWITCH) -> np.ndarray:
@@ -312,11 +334,10 @@ def train(docs: DataFrame, most: int = SAMPLE) -> Model:
         rows = (table["kind"] == kind).to_numpy()
         into[table["place"].to_numpy()[rows], of[rows]] = table["n"].to_numpy()[rows]
     logs = np.zeros(counts.shape, np.float32)
-    block = CLASSES // len(GRAMS)
     for k in range(len(GRAMS)):
-        part = counts[k * block:(k + 1) * block]
+        part = counts[k * BLOCK:(k + 1) * BLOCK]
         seen = max(int(part.any(axis=1).sum()), 1)
-        logs[k * block:(k + 1) * block] = np.log(
+        logs[k * BLOCK:(k + 1) * BLOCK] = np.log(
             (part + SMOOTHING) / (part.sum(axis=0) + SMOOTHING * seen))
     candidates = scripts >= SCRIPT_SHARE * np.maximum(scripts.sum(axis=0), 1)
     candidates[~candidates.any(axis=1)] = True
