@@ -68,6 +68,7 @@ def test_unlinked_members_are_cut_into_tiles(spark, monkeypatch):
 
 def test_near_but_unlinked_copies_of_a_template(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "TILE", 24)
     centre = prose(80, 120)
     rows = [(i, edited(centre, 900 + i, 0.035 if i % 4 else 0.02)) for i in range(120)]
     got = [tuple(r.values()) for r in rows_of(minhash.by_four_words(documents(spark, rows)))]
@@ -75,6 +76,35 @@ def test_near_but_unlinked_copies_of_a_template(spark, monkeypatch):
     assert 1 < len({r[2] for r in got}) < 120
 
 
+def test_parities_bound_the_difference(monkeypatch):
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(minhash, "PARITY_PAIRS", 7)
+    monkeypatch.setattr(minhash, "PARITY_BYTES", 512)
+    pool = mixed(rng.integers(0, 2**63, 3000, np.uint64))
+    sets = [np.unique(rng.choice(pool[:k], rng.integers(1, k))) for k in (2, 3, 40, 60, 64, 70, 300, 600, 3000) for _ in range(4)]
+    sets += [np.unique(np.r_[sets[-1][:-5], pool[:4]]), sets[-1]]
+    odd = minhash.Parities([minhash.parities(s) for s in sets], np.array([len(s) for s in sets]))
+    a, b = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    for per_mille in (800, 500):
+        may = odd.may_link(a, b, per_mille)
+        shared = np.array([len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b)])
+        linked = 1000 * shared >= per_mille * (odd.n[a] + odd.n[b] - shared)
+        assert may[linked].all()
+        assert (may & ~linked).mean() < 0.12
+
+
+def test_near_copies_below_the_threshold_propose_next_to_nothing(spark, monkeypatch):
+    centre = prose(90, 300)
+    rows = [(i, edited(centre, 3000 + i, 0.03)) for i in range(150)]  # similar to 0.5 to 0.75
+    signatures = minhash.signed(documents(spark, rows).select("doc_id", "text"), 4)
+    placed = signatures.selectExpr("1L as key", "doc_id", "doc_id as component", "packed")
+    met = minhash.tiles(placed, 64).join(signatures.select("doc_id", "n_shingles", "odd"), "doc_id")
+    least = minhash.least_estimate(0.8)
+    pairs = minhash._candidates(met, least, 800, True).count()
+    loose = minhash._candidates(met, least, 1, True).count()
+    assert loose > 3000 and pairs < loose / 20
+
+
 def test_empty_table_and_one_of_each(spark):
     assert minhash.near_duplicates(documents(spark, [])).collect() == []
     rows = [(1, prose(1, 60)), (2, prose(1, 60)), (3, prose(2, 60)), (4, None)]

@@ -19,8 +19,11 @@ from ticketmill.llm.graph import components
 BANDS, ROWS = 32, 4
 #: Low bits kept of each minimum; two to a byte.
 BITS = 4
-#: Members of a band's bucket compared in one piece of work.
-BLOCK = 400
+#: Members of a band's bucket compared in one piece of work, and, where loose members meet the
+#: others, sent to one task (which compares BLOCK by BLOCK of them).
+BLOCK, TILE = 400, 4096
+#: Most bytes of a set's parities, and pairs whose parities are compared at once.
+PARITY_BYTES, PARITY_PAIRS = 4096, 1 << 14
 #: A shingle table up to this many documents is sent to every executor (8 bytes each).
 SEND = 1_000_000
 #: What a member of a tile is compared with: the right members, the left ones, or all others.
@@ -64,8 +67,53 @@ def _unpack(packed: np.ndarray) -> np.ndarray:
     return np.concatenate([packed >> 4, packed & 15], axis=1)
 
 
+def parities(shingle_set: np.ndarray) -> bytes:
+    """One bit per class of shingles (by hash; about two classes a shingle, a power of two): whether
+    the set holds an odd number of the class. Where two sets' bits differ, a shingle is in just one
+    of them, so the differing bits count no more than the sets differ by: a bound, not an estimate.
+    Adding up halves (xor) gives the bits of half as many classes."""
+    classes = min(max(64, 1 << (2 * len(shingle_set) - 1).bit_length()), 8 * PARITY_BYTES)
+    odd = np.bincount((shingle_set & U64(classes - 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+class Parities:
+    """The parities of a tile's members, for bounds on the similarity of pairs of them."""
+
+    def __init__(self, bits: list[bytes], n_shingles: np.ndarray):
+        self.n, self.width = n_shingles, np.array([len(b) for b in bits])
+        # members by width, with those of twice the width folded
+        self.by_width: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for width in np.unique(self.width).tolist():
+            same, twice = (np.flatnonzero(self.width == w) for w in (width, 2 * width))
+            flat = np.frombuffer(b"".join(bits[k] for k in same), U64).reshape(len(same), width // 8)
+            wide = np.frombuffer(b"".join(bits[k] for k in twice), U64).reshape(len(twice), width // 4)
+            half = width // 8
+            place = np.full(len(bits), -1)
+            place[same], place[twice] = np.arange(len(same)), len(same) + np.arange(len(twice))
+            self.by_width[width] = place, np.concatenate([flat, wide[:, :half] ^ wide[:, half:]])
+
+    def may_link(self, a: np.ndarray, b: np.ndarray, per_mille: int) -> np.ndarray:
+        """Whether pairs of members can be as similar as that: by their sizes, then their parities."""
+        total = self.n[a] + self.n[b]
+        out = 1000 * np.minimum(self.n[a], self.n[b]) >= per_mille * np.maximum(self.n[a], self.n[b])
+        left = np.flatnonzero(out)
+        width = np.minimum(self.width[a[left]], self.width[b[left]])
+        for w in np.unique(width).tolist():
+            some = left[width == w]
+            place, bits = self.by_width[w]
+            for k in range(0, len(some), PARITY_PAIRS):
+                part = some[k:k + PARITY_PAIRS]
+                x, y = place[a[part]], place[b[part]]
+                known = (x >= 0) & (y >= 0)  # widths further apart, as of sets far apart in size, say nothing
+                differ = np.zeros(len(part), np.int64)
+                differ[known] = np.bitwise_count(bits[x[known]] ^ bits[y[known]]).sum(axis=1)
+                out[part] = (1000 + per_mille) * differ <= (1000 - per_mille) * total[part]
+        return out
+
+
 def signed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, two sums that identify the set, band keys and packed low bits."""
+    """doc_id, n_shingles, two sums that identify the set, band keys, packed low bits, parities."""
     def work(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(batch, size)
         minima = [signature(s) for s in sets]
@@ -78,10 +126,11 @@ def signed(docs: DataFrame, size: int) -> DataFrame:
             "set2": np.array([mixed(s).sum(dtype=U64) for s in sets], U64).view(np.int64),
             "bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
             "packed": pa.array([_pack(m) for m in minima], pa.binary()),
+            "odd": pa.array([parities(s) for s in sets], pa.binary()),
         }
 
     schema = ("doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, bands array<bigint>, "
-              "packed binary")
+              "packed binary, odd binary")
     return per_slice(docs, work, schema)
 
 
@@ -127,23 +176,25 @@ def _forest(est: np.ndarray, group: np.ndarray, least: float) -> list[tuple[int,
     return out
 
 
-def tiles(placed: DataFrame) -> DataFrame:
+def tiles(placed: DataFrame, size: int | None = None) -> DataFrame:
     """(key, block, doc_id, component, packed, side) from (key, doc_id, component, packed): what
     must be compared so that each member outside its bucket's largest component meets the whole
     bucket.
 
-    The loose members are cut into blocks of about BLOCK, and so are those of the largest
+    The loose members are cut into blocks of about ``size`` (BLOCK), and so are those of the largest
     component. Each block of loose ones (LEFT) meets each of the others (RIGHT), each later block
-    of loose ones (RIGHT), and itself (BOTH). So a tile has about 2 * BLOCK members at most,
-    however many are loose, and a pair is in one tile.
+    of loose ones (RIGHT), and itself (BOTH). So a tile has about 2 * ``size`` members at most,
+    however many are loose, a member goes to as many tiles as there are blocks, and a pair is in
+    one tile.
     """
+    size = size or BLOCK
     counts = placed.groupBy("key", "component").count()
     main = written(counts.groupBy("key").agg(
         F.max(F.struct("count", (-F.col("component")).alias("least"))).alias("top"),
         F.sum("count").alias("members"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
         "key", (-F.col("top.least")).alias("main"),
-        F.ceil(F.col("top.count") / BLOCK).cast("bigint").alias("others"),
-        F.ceil((F.col("members") - F.col("top.count")) / BLOCK).cast("bigint").alias("loose")), "main")
+        F.ceil(F.col("top.count") / size).cast("bigint").alias("others"),
+        F.ceil((F.col("members") - F.col("top.count")) / size).cast("bigint").alias("loose")), "main")
     cut = F.xxhash64("key", "doc_id")
     open_ = placed.join(main, "key").withColumn("is_loose", F.col("component") != F.col("main"))
     open_ = open_.withColumn("at", F.pmod(cut, F.when(F.col("is_loose"), F.col("loose"))
@@ -166,9 +217,10 @@ def tiles(placed: DataFrame) -> DataFrame:
         "key", "tile.block", "doc_id", "component", "packed", "tile.side")
 
 
-def _candidates(members: DataFrame, least: float, every: bool) -> DataFrame:
+def _candidates(members: DataFrame, least: float, per_mille: int, every: bool) -> DataFrame:
     """Pairs (a, b) inside blocks of (key, block, doc_id, component, packed, side): a spanning
-    forest each, or every pair of different components between LEFT and RIGHT, or inside BOTH."""
+    forest each, or every pair of different components between LEFT and RIGHT, or inside BOTH,
+    that estimate, sizes and parities (n_shingles, odd) all let pass."""
     def block_pairs(key_rows: pa.Table):
         ids = key_rows.column("doc_id").to_numpy()
         _, group = np.unique(key_rows.column("component").to_numpy(), return_inverse=True)
@@ -178,12 +230,18 @@ def _candidates(members: DataFrame, least: float, every: bool) -> DataFrame:
         packed = packed.reshape(len(ids), -1)
         if every:
             side = key_rows.column("side").to_numpy()
-            left, right = np.flatnonzero(side != RIGHT), np.flatnonzero(side != LEFT)
-            near = estimates(packed[left], packed[right]) >= least
-            a, b = np.nonzero(near & (group[left][:, None] != group[right][None]))
-            a, b = left[a], right[b]
-            use = (side[a] != BOTH) | (ids[a] < ids[b])
-            a, b = a[use], b[use]
+            odd = Parities(key_rows.column("odd").to_pylist(), key_rows.column("n_shingles").to_numpy())
+            found = []
+            for left in _runs(np.flatnonzero(side != RIGHT)):
+                for right in _runs(np.flatnonzero(side != LEFT)):
+                    near = estimates(packed[left], packed[right]) >= least
+                    a, b = np.nonzero(near & (group[left][:, None] != group[right][None]))
+                    a, b = left[a], right[b]
+                    use = (side[a] != BOTH) | (ids[a] < ids[b])
+                    a, b = a[use], b[use]
+                    may = odd.may_link(a, b, per_mille)
+                    found.append((a[may], b[may]))
+            a, b = (np.concatenate(x) for x in zip(*found)) if found else (ids[:0], ids[:0])
         else:
             found = np.array(_forest(estimates(packed), group, least), np.int64).reshape(-1, 2)
             a, b = found.T
@@ -211,6 +269,10 @@ def _candidates(members: DataFrame, least: float, every: bool) -> DataFrame:
     )
 
 
+def _runs(places: np.ndarray) -> list[np.ndarray]:
+    return [places[k:k + BLOCK] for k in range(0, len(places), BLOCK)]
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs whose full shingle sets are similar enough, judged in whole numbers."""
     per_mille = round(similarity * 1000)
@@ -246,9 +308,11 @@ def near_links(signatures: DataFrame, docs: DataFrame, size: int, similarity: fl
     hash that differs from band to band, and each block proposes a spanning forest, so copies
     of one text are never paired each with each and a large group still hangs together over its
     bands. Members that are then outside their bucket's largest component are held against the
-    whole bucket, tile by tile, so no link between components is left out.
+    whole bucket, tile by tile, so no link between components is left out. Of those pairs only the
+    ones go on to be confirmed that their parities cannot rule out, which are those at or hardly
+    below ``similarity``: a large group of near texts that are not linked gives next to none.
     """
-    least = least_estimate(similarity)
+    least, per_mille = least_estimate(similarity), round(similarity * 1000)
     banded = signatures.select("doc_id", "packed", F.explode("bands").alias("key"))
     sizes = written(banded.groupBy("key").count().where("count > 1"), "buckets")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
@@ -257,7 +321,7 @@ def near_links(signatures: DataFrame, docs: DataFrame, size: int, similarity: fl
             "block", F.pmod(F.xxhash64("key", "doc_id"), F.col("blocks")).cast("int")), "members")
     first = _candidates(
         buckets.select("key", "block", "doc_id", F.col("doc_id").alias("component"), "packed",
-                       F.lit(BOTH).alias("side")), least, False)
+                       F.lit(BOTH).alias("side")), least, per_mille, False)
     first = written(first, "pairs")
     links = written(confirmed(first, docs, size, similarity), "near")
     found = components(links)
@@ -265,7 +329,9 @@ def near_links(signatures: DataFrame, docs: DataFrame, size: int, similarity: fl
         buckets.join(found, buckets["doc_id"] == found["node"], "left")
         .select("key", "doc_id", "packed",
                 F.coalesce("component", "doc_id").alias("component")), "placed")
-    second = written(_candidates(tiles(placed), least, True), "pairs").join(
+    bits = signatures.select("doc_id", "n_shingles", "odd")
+    met = tiles(placed, TILE).join(bits, "doc_id")
+    second = written(_candidates(met, least, per_mille, True), "pairs").join(
         first, ["a", "b"], "left_anti")
     return links.union(confirmed(written(second, "pairs"), docs, size, similarity))
 
