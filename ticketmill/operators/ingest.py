@@ -58,10 +58,11 @@ def with_blanks_as_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: text.blank_to_null(F.col(c)) for c in S.BLANK_IS_NULL})
 
 
-def keyed_rows(df: DataFrame) -> DataFrame:
-    """Trim the key, then drop rows without one."""
+def keyed_rows(df: DataFrame, also: Column | None = None) -> DataFrame:
+    """Trim the key, then drop rows without one, but for those that ``also`` names."""
     key = F.col(S.KEY)
-    return df.withColumn(S.KEY, text.trim_all(key)).where(key.isNotNull() & (key != ""))
+    keyed = key.isNotNull() & (key != "")
+    return df.withColumn(S.KEY, text.trim_all(key)).where(keyed if also is None else keyed | also)
 
 
 def exact_columns(df: DataFrame) -> DataFrame:
@@ -98,10 +99,10 @@ def parse_errors(raw: DataFrame) -> Column:
     return sum(checks, F.lit(0))
 
 
-def lenient_tickets(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def lenient_tickets(raw: DataFrame, keep: Sequence[str] = (), also: Column | None = None) -> DataFrame:
     """Typed tickets plus ``parse_errors``; a bad field is null instead of a failure.
 
-    ``keep`` names further columns to carry along.
+    ``keep`` names further columns to carry along; rows without a key stay if ``also`` is true.
     """
     raw = with_missing_columns(raw)
     errors = parse_errors(raw)
@@ -109,6 +110,6 @@ def lenient_tickets(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             for names, t in ((S.INTEGERS, "bigint"), (S.DOUBLES, "double")) for c in names}
     df = rename_raw(raw.withColumn("parse_errors", errors).withColumns(good))
     df = with_timestamps(df, lambda c: dates.try_parse_iso(text.blank_to_null(c)))
-    for step in (with_calendar_parts, with_numbers, with_flags, with_blanks_as_null, keyed_rows):
+    for step in (with_calendar_parts, with_numbers, with_flags, with_blanks_as_null):
         df = step(df)
-    return df.select(*S.TYPED_COLUMNS, "parse_errors", *keep)
+    return keyed_rows(df, also).select(*S.TYPED_COLUMNS, "parse_errors", *keep)

@@ -37,18 +37,20 @@ def audit_by(staged: DataFrame, group: str, min_rows: int = 1,
     )
 
 
-def latest_wins(df: DataFrame, key: str = S.KEY, version: str = S.VERSION,
-                tiebreak: Sequence[str] | None = None) -> DataFrame:
+def latest_wins(df: DataFrame, key: str | Sequence[str] = S.KEY, version: str = S.VERSION,
+                tiebreak: Sequence[str] | None = None, hashed: Sequence[str] | None = None
+                ) -> DataFrame:
     """One row per key, newest version first; ties are settled by ``tiebreak`` (descending).
 
-    By default a hash of the whole row settles ties, so the result does not depend on how
-    rows were distributed. ``row_number() = 1`` is kept visible to the optimizer: it limits
-    each group to one row before the shuffle, so a key with a third of all rows sends only
-    one row per input task.
+    By default a hash of the whole row (of its columns ``hashed``) settles ties, so the result does
+    not depend on how rows were distributed. ``row_number() = 1`` is kept visible to the optimizer:
+    it limits each group to one row before the shuffle, so a key with a third of all rows sends
+    only one row per input task.
     """
-    ties = [F.xxhash64(*df.columns)] if tiebreak is None else [F.col(c) for c in tiebreak]
+    ties = [F.xxhash64(*(hashed or df.columns))] if tiebreak is None else [F.col(c) for c in tiebreak]
     order = [c.desc_nulls_last() for c in (F.col(version), *ties)]
-    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    keys = [key] if isinstance(key, str) else list(key)
+    ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 

@@ -242,7 +242,8 @@ def p11_trim_key(b: Bed) -> DataFrame:
         S.KEY, F.length(S.KEY).cast("bigint").alias("key_length"))
 
 
-@query(f"""SELECT {TYPED} FROM (SELECT * REPLACE (
+#: The tickets as typing makes them of the landed records.
+_LANDED = f"""landed AS (SELECT {TYPED} FROM (SELECT * REPLACE (
     CASE WHEN n % 3 <> 0 THEN 'phone' END AS origin,
     CASE WHEN n % 2 <> 0 THEN '60601' END AS zip_code,
     CASE WHEN n % 11 <> 0 THEN community_area END AS community_area,
@@ -252,7 +253,10 @@ def p11_trim_key(b: Bed) -> DataFrame:
     {_flag('legacy_record')} AS legacy_record,
     CASE WHEN n % 4 <> 0 THEN 'G1' END AS electricity_grid,
     CASE WHEN duplicate THEN printf('SR%09d', n - 1) END AS parent_sr_number)
-  FROM log)""")
+  FROM log))"""
+
+
+@query(f"{_LANDED} SELECT {TYPED} FROM landed")
 def p12_typed_tickets(b: Bed) -> DataFrame:
     return ingest.typed_tickets(b.raw)
 
@@ -303,9 +307,9 @@ def w05_affected_rows(b: Bed) -> DataFrame:
     return wap.affected(_feed_merge(b))
 
 
-#: The columns that a merge moves (of those that the sample fills), and others.
+#: The columns that a merge moves (of those that the sample fills).
 MOVED = ("current_status", "closed_date", "last_modified_date", "duplicate", "owner_department")
-STORED = (S.KEY, "created_date", *MOVED, "ward", "sr_type", "community_area", "legacy_record")
+STORED = S.TYPED_COLUMNS
 
 
 def _number() -> Column:
@@ -351,6 +355,20 @@ def w04_stored_merge(b: Bed) -> DataFrame:
     return table.read(b.spark, lake.main).select(*STORED)
 
 
+@query(f"""{_CHANGED}, j AS (SELECT s.n, s.n % 10 = 0 AS new,
+      s.last_modified_date > t.last_modified_date AS newer FROM s JOIN t USING (n))
+  SELECT count(*) FILTER (new) AS inserted, count(*) FILTER (NOT new AND newer) AS updated,
+    count(*) FILTER (new OR newer) AS affected FROM j""")
+def w05_stored_counts(b: Bed) -> DataFrame:
+    """What the merge into a stored table says of itself."""
+    lake = b.lake()
+    loads.ensure_tables(b.spark, lake)
+    table.overwrite(b.spark, lake.main, b.log.where(_number() % 10 != 0))
+    table.overwrite(b.spark, lake.staging, _changed_tickets(b))
+    counts = merge_into(b.spark, lake.main, table.read(b.spark, lake.staging))
+    return b.spark.range(1).select(*[F.lit(n).cast("bigint").alias(c) for c, n in counts.items()])
+
+
 @query(f"""{_CHANGED}
   SELECT {', '.join(STORED)} FROM (SELECT * FROM t WHERE n % 10 <> 0 AND n % 3 <> 0
     UNION ALL SELECT * FROM s)""")
@@ -375,7 +393,7 @@ def w06_chunk_planner(b: Bed) -> DataFrame:
     return loads.chunk_frame(bounds, 3)
 
 
-LOADED = "service_request_number, created_date, closed_date, current_status, last_modified_date"
+LOADED = TYPED
 
 
 def _loaded(b: Bed, lake: loads.Lake, result: loads.LoadResult) -> DataFrame:
@@ -385,19 +403,50 @@ def _loaded(b: Bed, lake: loads.Lake, result: loads.LoadResult) -> DataFrame:
 
 
 def _expected(low: str, high: str) -> str:
-    return (f"SELECT {LOADED}, count(*) OVER () AS loaded, CAST(0 AS BIGINT) AS failed FROM log "
-            f"WHERE created_date >= TIMESTAMP '{low}' AND created_date < TIMESTAMP '{high}'")
+    return (f"{_LANDED} SELECT {LOADED}, count(*) OVER () AS loaded, CAST(0 AS BIGINT) AS failed "
+            f"FROM landed WHERE created_date >= TIMESTAMP '{low}' AND created_date < TIMESTAMP '{high}'")
+
 
+def _padded_month(b: Bed, field: str, month: str) -> DataFrame:
+    """The landed records, with a month's texts of ``field`` padded and so unreadable."""
+    bad = F.col(field).startswith(month)
+    return b.raw.withColumn(field, F.when(bad, F.concat(F.lit(" "), field)).otherwise(F.col(field)))
 
-@query(_expected("1995-01-01", "1995-07-01").replace("CAST(0 AS BIGINT)", "CAST(1 AS BIGINT)"))
+
+@query(f"""{_LANDED}, b AS (SELECT count(*) AS set_aside FROM feed
+      WHERE strftime(created_date, '%Y-%m') = '1995-07')
+  SELECT {LOADED}, count(*) OVER () AS loaded, CAST(1 AS BIGINT) AS failed, set_aside FROM landed, b
+  WHERE created_date >= TIMESTAMP '1995-01-01' AND created_date < TIMESTAMP '1996-01-01'
+    AND strftime(created_date, '%Y-%m') <> '1995-07'""")
 def w08_bad_dates(b: Bed) -> DataFrame:
-    """A month of records whose dates are padded: reported and set aside, the rest loads."""
-    bad = F.col("created_date").startswith("1995-07")
-    text = F.when(bad, F.concat(F.lit(" "), "created_date")).otherwise(F.col("created_date"))
-    raw = b.raw.where("created_date < '1995-08'").withColumn("created_date", text)
+    """A year with a month of padded dates: reported and set aside, the rest loads; a second,
+    clean load keeps what was set aside."""
     lake = b.lake()
+    raw = _padded_month(b, "created_date", "1995-07")
     result = loads.backfill(b.spark, lake, raw, date(1995, 1, 1), date(1996, 1, 1))
-    return _loaded(b, lake, result)
+    loads.yearly_load(b.spark, lake, b.raw.where(F.lit(False)), 1996)
+    kept = table.read(b.spark, lake.quarantine).count()
+    return _loaded(b, lake, result).withColumn("set_aside", F.lit(kept).cast("bigint"))
+
+
+@query(f"""{_LANDED}, f AS (SELECT *, strftime(last_modified_date, '%Y-%m-%d') = '2000-06-14' AS bad,
+      last_modified_date >= TIMESTAMP '2000-06-14 12:00:00'
+      AND last_modified_date < TIMESTAMP '2000-06-15 12:00:00' AS fresh FROM landed),
+  r AS (SELECT count(*) AS set_aside FROM feed
+      WHERE strftime(last_modified_date, '%Y-%m-%d') = '2000-06-14')
+  SELECT {LOADED}, count(*) FILTER (NOT replayed) OVER () AS loaded, CAST(1 AS BIGINT) AS failed,
+    count(*) FILTER (replayed) OVER () AS replayed_rows, set_aside
+  FROM (SELECT *, bad AS replayed FROM f WHERE bad OR fresh), r""")
+def w09_bad_dates(b: Bed) -> DataFrame:
+    """A daily load of records whose change times are padded on one day: reported and set aside,
+    then corrected and replayed."""
+    lake = b.lake()
+    raw = _padded_month(b, S.VERSION, "2000-06-14")
+    result = loads.daily_load(b.spark, lake, raw, datetime(2000, 6, 15, 12))
+    again = loads.replay(b.spark, lake, lambda bad: bad.withColumn(S.VERSION, F.trim(S.VERSION)), "by hand")
+    kept = table.read(b.spark, lake.quarantine).count()
+    return _loaded(b, lake, result).withColumns({
+        "replayed_rows": F.lit(again.rows).cast("bigint"), "set_aside": F.lit(kept).cast("bigint")})
 
 
 @query(_expected("1995-01-01", "2001-10-15"))
@@ -414,8 +463,8 @@ def w08_yearly_load(b: Bed) -> DataFrame:
     return _loaded(b, lake, loads.yearly_load(b.spark, lake, b.raw, 1997))
 
 
-@query(f"""w AS (SELECT *, last_modified_date >= TIMESTAMP '2000-06-14 12:00:00'
-      AND last_modified_date < TIMESTAMP '2000-06-15 12:00:00' AS fresh FROM log),
+@query(f"""{_LANDED}, w AS (SELECT *, last_modified_date >= TIMESTAMP '2000-06-14 12:00:00'
+      AND last_modified_date < TIMESTAMP '2000-06-15 12:00:00' AS fresh FROM landed),
   base AS (SELECT * REPLACE (
       CASE WHEN hide THEN 'Open' ELSE current_status END AS current_status,
       CASE WHEN hide THEN NULL ELSE closed_date END AS closed_date,

@@ -30,6 +30,10 @@ RENAMES = {"sr_number": KEY, "status": "current_status"}
 
 RAW_SCHEMA = StructType([StructField(n, StringType()) for n in RAW_FIELDS])
 
+#: A rejected record as it landed, its digest, and the load and reason that set it aside.
+REJECTED_SCHEMA = StructType([*RAW_SCHEMA.fields, *(StructField(n, StringType()) for n in ("record", "load", "reason"))])
+REPLAYED_SCHEMA = StructType([StructField(n, StringType()) for n in ("record", "load")])
+
 # The typed ticket, in column order; everything else in it is text.
 TYPED_COLUMNS = (
     "service_request_number", "created_date", "closed_date", "sr_type", "sr_short_code",
@@ -75,6 +79,9 @@ def _type_of(name: str) -> DataType:
 
 TYPED_SCHEMA = StructType([StructField(n, _type_of(n)) for n in TYPED_COLUMNS])
 
+#: The changeable columns as one value.
+STEP_TYPE = StructType([TYPED_SCHEMA[c] for c in MERGE_UPDATES]).simpleString()
+
 SLA_TARGETS_SCHEMA = "sr_type string, target_days bigint, priority string, sla_target_source string"
 DEPARTMENTS_SCHEMA = "owner_department string, display_name string, bureau string"
 AREAS_SCHEMA = (

@@ -30,16 +30,21 @@ def readable(field: str) -> Column:
     return dates.try_parse_iso(F.col(field)).isNotNull()
 
 
-def date_range(df: DataFrame, field: str, start, end) -> DataFrame:
-    """Half-open range ``start <= field < end``.
+def in_range(df: DataFrame, field: str, start, end) -> Column:
+    """Whether ``start <= field < end``.
 
     Unparsed records are compared as text, which runs inside the JSON reader: for ISO text
     that is time order once the bounds carry no trailing zeros, as a record may or may not
     spell its fraction out. Text that is no time may fall on either side: loads put such
-    records aside first, see :func:`readable`.
+    records aside, see :func:`readable`.
     """
     kind = df.schema[field].dataType
     if isinstance(kind, StringType):
         start, end = (re.sub(r"\.?0*$", "", b) if "." in b else b for b in (start, end))
     low, high = F.lit(start).cast(kind), F.lit(end).cast(kind)
-    return df.where((F.col(field) >= low) & (F.col(field) < high))
+    return (F.col(field) >= low) & (F.col(field) < high)
+
+
+def date_range(df: DataFrame, field: str, start, end) -> DataFrame:
+    """The rows of the half-open range ``start <= field < end``, see :func:`in_range`."""
+    return df.where(in_range(df, field, start, end))
