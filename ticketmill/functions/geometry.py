@@ -50,3 +50,59 @@ def multipolygon(wkt: Column) -> Column:
 def points(shape: Column) -> Column:
     """All points of a parsed shape as one flat array."""
     return F.flatten(F.flatten(shape))
+
+
+# --- rings -----------------------------------------------------------------------------
+
+def signed_area(ring: Column) -> Column:
+    """Twice the area that a closed ring of degrees encloses on a plane: positive if it runs
+    counter-clockwise, 0 if its points lie on a line. One pass over the ring."""
+    steps = F.when(F.size(ring) > 1, F.sequence(F.lit(0), F.size(ring) - 2)).otherwise(F.array().cast("array<int>"))
+
+    def add(total: Column, i: Column) -> Column:
+        a, b = F.get(ring, i), F.get(ring, i + 1)
+        # relative to the first point, so that small rings far from the origin keep their digits
+        o = F.get(ring, F.lit(0))
+        return total + ((a["lon"] - o["lon"]) * (b["lat"] - o["lat"])
+                        - (b["lon"] - o["lon"]) * (a["lat"] - o["lat"]))
+
+    return F.aggregate(steps, F.lit(0.0), add)
+
+
+def ring_fault(ring: Column) -> Column:
+    """Why a ring bounds no region, or null: four points at least, all of them finite and on the
+    globe, the last one equal to the first, three of them different and not on a line."""
+    def off(p: Column) -> Column:
+        fine = F.coalesce((F.abs(p["lon"]) <= 180) & (F.abs(p["lat"]) <= 90), F.lit(False))
+        return ~fine | F.isnan(p["lon"]) | F.isnan(p["lat"])
+
+    return (
+        F.when(F.size(ring) < 4, "fewer than four points")
+        .when(F.exists(ring, off), "a point that is not on the globe")
+        .when(~F.get(ring, F.lit(0)).eqNullSafe(F.element_at(ring, -1)), "not closed")
+        .when(F.size(F.array_distinct(ring)) < 3, "fewer than three different points")
+        .when(signed_area(ring) == 0, "all points on a line")
+    )
+
+
+def checked(shape: Column, name: Column) -> Column:
+    """The parsed ``shape``, of rings that each bound a region; the error for another one tells the
+    area's ``name``, the polygon and the ring (both from 1)."""
+    def ring(r: Column, polygon: Column, place: Column) -> Column:
+        where = F.concat(F.coalesce(name.cast("string"), F.lit("an area without name")), F.lit(", polygon "),
+                         (polygon + 1).cast("string"), F.lit(", ring "), (place + 1).cast("string"), F.lit(": "))
+        fault = ring_fault(r)
+        wrong = F.raise_error(F.concat(F.lit("boundary of "), where, fault))
+        return F.when(fault.isNull(), r).otherwise(wrong.cast(f"array<{POINT_TYPE}>"))
+
+    return F.transform(shape, lambda p, i: F.transform(p, lambda r, j: ring(r, i, j)))
+
+
+def oriented(shape: Column) -> Column:
+    """The shape with outer rings counter-clockwise and holes clockwise, as readers of boundaries
+    expect that take the region to lie on the left."""
+    def turned(ring: Column, place: Column) -> Column:
+        outer, left = place == 0, signed_area(ring) > 0
+        return F.when(outer == left, ring).otherwise(F.reverse(ring))
+
+    return F.transform(shape, lambda p: F.transform(p, turned))

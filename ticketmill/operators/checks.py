@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -64,34 +65,53 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     return df.where(_row_fails(check))
 
 
-def run_suite(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
-    """One row per check: ``check_name``, ``checked``, ``failures``, ``passed``.
+RESULT = "model string, check_name string, checked string, failures bigint, passed boolean"
+
+
+def run_suites(suites: Mapping[str, tuple[DataFrame, Iterable[Check]]]) -> DataFrame:
+    """One row per model and check: ``model``, ``check_name``, ``checked``, ``failures``, ``passed``.
 
-    Row checks share one aggregate over the table; each uniqueness check adds a grouping of
-    its own. A failing check is a row in the result, never an error.
+    All checks that look at single rows share one aggregate over their table, and all uniqueness
+    checks of the same columns one grouping, which sends each task's distinct keys once. Equal
+    checks of a model are run and listed once. A failing check is a row in the result, never an
+    error.
     """
-    checks = list(checks)
-    if not checks:
-        return df.sparkSession.createDataFrame(
-            [], "check_name string, checked string, failures bigint, passed boolean")
-    row_checks = [c for c in checks if not c.name.startswith("unique")]
     parts = []
-    if row_checks:
-        counts = df.agg(*[F.count_if(_row_fails(c)).alias(f"f{i}") for i, c in enumerate(row_checks)])
-        rows = F.array(*[
-            F.struct(F.lit(c.name).alias("check_name"), F.lit(c.label).alias("checked"),
-                     F.col(f"f{i}").alias("failures"))
-            for i, c in enumerate(row_checks)
-        ])
-        parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
-    for c in checks:
-        if c.name.startswith("unique"):
-            parts.append(failing_rows(df, c).agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(c.name).alias("check_name"), F.lit(c.label).alias("checked"), "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("passed", F.col("failures") == 0)
+    for model, (df, checks) in suites.items():
+        checks = list(dict.fromkeys(checks))
+        row_checks = [c for c in checks if not c.name.startswith("unique")]
+        if row_checks:
+            counts = df.agg(*[F.count_if(_row_fails(c)).alias(f"f{i}") for i, c in enumerate(row_checks)])
+            parts.append(_listed(counts, model, row_checks))
+        by_key: dict[tuple[str, ...], list[Check]] = {}
+        for c in checks:
+            if c.name.startswith("unique"):
+                by_key.setdefault(c.columns, []).append(c)
+        for columns, same in by_key.items():
+            repeated = duplicates(df, columns, ignore_null=all(c.name == "unique" for c in same))
+            known = F.col(columns[0]).isNotNull()
+            counts = repeated.agg(*[
+                (F.count_if(known) if c.name == "unique" else F.count(F.lit(1))).alias(f"f{i}")
+                for i, c in enumerate(same)])
+            parts.append(_listed(counts, model, same))
+    if not parts:
+        spark = next((df.sparkSession for df, _ in suites.values()), None) or SparkSession.active()
+        return spark.createDataFrame([], RESULT)
+    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failures") == 0)
+
+
+def _listed(counts: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
+    """The one row of ``counts`` (f0, f1, ...) as a row per check."""
+    rows = F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(c.name).alias("check_name"),
+                 F.lit(c.label).alias("checked"), F.col(f"f{i}").alias("failures"))
+        for i, c in enumerate(checks)])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def run_suite(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
+    """:func:`run_suites` of one table, without the model's name."""
+    return run_suites({"": (df, checks)}).drop("model")
 
 
 def freshness(df: DataFrame, as_of, max_hours: int = 24,
@@ -106,7 +126,7 @@ def freshness(df: DataFrame, as_of, max_hours: int = 24,
     )
 
 
-# The suites of the source table, the models and the seeds.
+# The suites of the source table, the models and the seeds.
 SOURCE = (
     unique("service_request_number"), not_null("service_request_number"), not_null("sr_type"),
     not_null("current_status"), not_null("owner_department"), not_null("created_date"),
@@ -149,7 +169,7 @@ SEED_AREAS = (
 )
 SEED_TARGETS = (unique("sr_type"), not_null("sr_type"))
 SEED_DEPARTMENTS = (unique("owner_department"), not_null("owner_department"))
-# Contracts of the two documented marts (see ``rules.daily_backlog`` and ``monthly_sla``).
+# The contracts of the two documented marts (see ``rules.daily_backlog`` and ``monthly_sla``).
 CONTRACT_DAILY = (
     unique_combination("community_area", "sr_type", "snapshot_date"), not_null("snapshot_date"),
     not_null("community_area"), accepted_range("community_area", 1, 77),

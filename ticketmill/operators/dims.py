@@ -132,12 +132,14 @@ def dim_status(stg: DataFrame) -> DataFrame:
 
 
 def dim_geography(areas: DataFrame) -> DataFrame:
-    """One row per area; ward stays on the fact, since an area spans several wards."""
+    """One row per area; ward stays on the fact, since an area spans several wards. A boundary that
+    is no valid shape fails, with the area's name and the ring."""
+    boundary = geometry.checked(geometry.multipolygon(F.col("the_geom")), F.col("area_name"))
     return areas.select(
         F.col("area_number").cast("bigint").alias("community_area_id"),
         F.col("area_name").alias("community_area_name"),
         F.col("side").alias("city_side"),
-        geometry.multipolygon(F.col("the_geom")).alias("area_boundary"),
+        boundary.alias("area_boundary"),
         text.number_with_commas(F.col("shape_area")).alias("shape_area"),
         text.number_with_commas(F.col("shape_len")).alias("shape_length"),
     )

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from ticketmill import schemas as S
 from ticketmill.operators import checks, dims, facts, marts, staging
 from ticketmill.operators.joins import sized
+from ticketmill.plans import published
 from ticketmill.plans.publish import upsert_into
 from ticketmill.sources import table
 
@@ -70,74 +72,122 @@ def write_dimensions(spark: SparkSession, root: str, stg: DataFrame, seeds: Seed
 FACTS = {
     "fct_service_requests": table.Layout(
         "created_date", "month",
-        ("request_type_id", "department_id", "community_area_id", "status_id")),
+        ("request_type_id", "department_id", "community_area_id", "status_id"),
+        (S.KEY,), ("last_modified_date",)),
     "fct_sla_performance": table.Layout(
-        "closed_date", "month", ("community_area_id", "request_type_id")),
+        "closed_date", "month", ("community_area_id", "request_type_id"), (S.KEY,), ("closed_date",)),
 }
+#: Property of a fact's commit: the commit of the main table that it was brought up to.
+SEEN = "main_commit"
+
+
+@dataclass(frozen=True)
+class Feed:
+    """The stored main table as of one commit, and how its rows are staged. Facts brought up from
+    it read only the batches committed since their last build."""
+
+    root: str
+    main: table.Snapshot
+    staged: Callable[[DataFrame], DataFrame]
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        return self.staged(table.read(spark, self.root, snap=self.main))
+
+    def since(self, spark: SparkSession, number: str | None) -> DataFrame | None:
+        """The staged rows of all files committed since ``number``; None if that is not known."""
+        new = None if number is None else table.changes(spark, self.root, int(number), self.main)
+        return None if new is None else self.staged(new)
 
 
 def refresh_fact(spark: SparkSession, path: str, name: str, stg: DataFrame,
                  star: Dimensions, full_refresh: bool = False,
-                 layout: table.Layout | None = None, stamp: bool = False) -> int:
+                 layout: table.Layout | None = None, stamp: bool = False,
+                 feed: Feed | None = None) -> int:
     """Rebuild the fact ``name`` at ``path``, or upsert the rows changed since its stored
-    maximum; the number of rows written or replaced."""
+    maximum; the number of rows written or replaced.
+
+    The maximum is part of the fact's commit. With ``feed`` only what was committed to the main
+    table since the last build is read: each row of a slice that is not among it is in the fact
+    already, because the slices of earlier builds reached at least as far back.
+    """
     if name == "fct_service_requests":
-        pick, model, lookups = (facts.modified_slice, facts.fct_service_requests,
-                                (star.request_type, star.department, star.status))
+        pick, since, mark, model, lookups = (
+            facts.modified_slice, facts.modified_since, "last_modified_date", facts.fct_service_requests,
+            (star.request_type, star.department, star.status))
     else:
-        pick, model, lookups = (facts.closed_slice, facts.fct_sla_performance,
-                                (star.request_type, star.department))
+        pick, since, mark, model, lookups = (
+            facts.closed_slice, facts.closed_since, "closed_date", facts.fct_sla_performance,
+            (star.request_type, star.department))
 
     def rows(tickets: DataFrame) -> DataFrame:
         fact = model(tickets, *lookups)
         return dims.with_rebuild_time(fact) if stamp else fact
 
-    whole = rows(stg)
-    new = table.snapshot(spark, path) is None
-    table.create(spark, path, whole.schema, layout or FACTS[name])
-    if new or full_refresh:
-        return table.overwrite(spark, path, whole, allow_empty=True)
-    # the newest closing date lies in the newest part; a newest change may lie in any part
-    parts = table.newest_part(spark, path) if pick is facts.closed_slice else None
-    changed = pick(stg, table.read(spark, path, parts))
-    return upsert_into(spark, path, rows(changed))
+    seen = {SEEN: str(feed.main.number)} if feed else {}
+    base = table.snapshot(spark, path)
+    if base is None or full_refresh:
+        whole = rows(stg)
+        table.create(spark, path, whole.schema, layout or FACTS[name])
+        return table.overwrite(spark, path, whole, allow_empty=True, properties=seen)
+    new = feed.since(spark, base.properties.get(SEEN)) if feed else None
+    if mark in base.layout.marks:
+        changed = since(stg if new is None else new, base.marks.get(mark))
+    else:
+        # the newest closing date lies in the newest part; a newest change may lie in any part
+        parts = table.newest_part(spark, path) if pick is facts.closed_slice else None
+        changed = pick(stg if new is None else new, table.read(spark, path, parts))
+    return upsert_into(spark, path, rows(changed), properties=seen)
 
 
-def build_models(spark: SparkSession, root: str, tickets: DataFrame, seeds: Seeds, as_of=None,
+def build_models(spark: SparkSession, root: str, tickets: DataFrame | str, seeds: Seeds, as_of=None,
                  calendar: DataFrame | None = None, holiday_dates: DataFrame | None = None,
                  full_refresh: bool = False) -> dict[str, DataFrame]:
     """Seeds, dimensions, facts, marts, in that order.
 
     Dimensions and the SLA mart are written whole into a folder of this build, facts are
-    kept up to date in place; staging and the operational mart are views. Every model is
-    registered under its name once all of them are there, and returned by name.
+    kept up to date in place; staging and the operational mart are views. All of them become
+    visible together, by one pointer (see :mod:`ticketmill.plans.published`, which reads them in
+    any session), are then registered under their names, and returned by name.
+
+    ``tickets`` may be the folder of the stored main table. All models then rest on one commit of
+    it, and facts read only what was committed since they were last built.
     """
-    run = f"{root}/builds/{uuid.uuid4().hex}"
-    stg = staging.stg_service_requests(tickets, as_of, audit_column=True)
+    name_of_run = uuid.uuid4().hex
+    run = f"{root}/builds/{name_of_run}"
+
+    def staged(rows: DataFrame) -> DataFrame:
+        return staging.stg_service_requests(rows, as_of, audit_column=True)
+
+    feed = Feed(tickets, table.snapshot(spark, tickets), staged) if isinstance(tickets, str) else None
+    stg = feed.rows(spark) if feed else staged(tickets)
     calendar = calendar if calendar is not None else dims.fixed_bounds(spark)
     holiday_dates = holiday_dates if holiday_dates is not None else dims.holidays(spark)
     d = write_dimensions(spark, run, stg, seeds, calendar, holiday_dates, stamp=True)
     for name in FACTS:
-        refresh_fact(spark, f"{root}/{name}", name, stg, d, full_refresh, stamp=True)
-    fct = table.read(spark, f"{root}/fct_service_requests")
-    sla = table.read(spark, f"{root}/fct_sla_performance")
-    operational = marts.mart_operational(fct, d.geography, d.request_type, d.department,
-                                         d.status, as_of)
+        refresh_fact(spark, f"{root}/{name}", name, stg, d, full_refresh, stamp=True, feed=feed)
+    commits = {name: table.snapshot(spark, f"{root}/{name}") for name in FACTS}
+    fct, sla = (table.read(spark, f"{root}/{name}", snap=commits[name]) for name in FACTS)
     performance = write_table(
         marts.mart_sla_performance(sla, d.geography, d.request_type, d.department),
         f"{run}/mart_sla_performance")
+    published.publish(spark, root, published.Pointer(
+        name_of_run, [*published.DIMENSIONS, "mart_sla_performance"],
+        {name: snap.number for name, snap in commits.items()},
+        None if as_of is None else str(as_of), feed.root if feed else None,
+        feed.main.number if feed else None))
     models = {
         "stg_service_requests": stg, "dim_date": d.date, "dim_geography": d.geography,
         "dim_request_type": d.request_type, "dim_department": d.department,
         "dim_status": d.status, "fct_service_requests": fct, "fct_sla_performance": sla,
-        "mart_operational": operational, "mart_sla_performance": performance,
+        "mart_operational": marts.mart_operational(fct, d.geography, d.request_type, d.department,
+                                                   d.status, as_of),
+        "mart_sla_performance": performance,
     }
     for name, frame in models.items():
         frame.createOrReplaceTempView(name)
     return models
 
 
-
 SUITES = {
     "stg_service_requests": checks.STAGING,
     "dim_date": checks.DIM_DATE,
@@ -151,10 +201,15 @@ SUITES = {
 }
 
 
-def check_models(models: dict[str, DataFrame]) -> DataFrame:
-    """The result of every model's suite, with the model's name; nothing stops at a failure."""
-    out = None
-    for name, suite in SUITES.items():
-        result = checks.run_suite(models[name], suite).withColumn("model", F.lit(name))
-        out = result if out is None else out.unionByName(result)
-    return out
+def check_models(models: dict[str, DataFrame], seeds: Seeds | None = None,
+                 source: DataFrame | None = None) -> DataFrame:
+    """The result of every model's suite, and of those of the seeds and the source table if given,
+    with the model's name; nothing stops at a failure."""
+    suites = {name: (models[name], suite) for name, suite in SUITES.items()}
+    if seeds is not None:
+        suites |= {"community_areas": (seeds.community_areas, checks.SEED_AREAS),
+                   "sla_targets": (seeds.sla_targets, checks.SEED_TARGETS),
+                   "department_metadata": (seeds.department_metadata, checks.SEED_DEPARTMENTS)}
+    if source is not None:
+        suites["service_requests"] = (source, checks.SOURCE)
+    return checks.run_suites(suites)

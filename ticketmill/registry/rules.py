@@ -7,10 +7,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.operators import facts, rules
-from ticketmill.plans import loads
+from ticketmill import schemas as S
+from ticketmill.operators import facts, history, rules
+from ticketmill.plans import documented, loads
 from ticketmill.registry import query
 from ticketmill.registry.oracle import AS_OF as AS_OF_SQL
+from ticketmill.registry.oracle import key_of
 from ticketmill.samples import AS_OF, CATEGORIES, Bed
 from ticketmill.sources import table
 
@@ -140,6 +142,70 @@ def x08_period_equity(b: Bed) -> DataFrame:
     return rules.period_equity(b.sla)
 
 
+#: The SLA fact as documented: no duplicates, default targets, business days.
+_DOCUMENTED = """dsla AS (
+  SELECT s.service_request_number, KEY_TYPE AS request_type_id, KEY_DEPARTMENT AS department_id,
+    s.community_area AS community_area_id, CAST(s.closed_date AS DATE) AS closed_date,
+    CAST(s.created_date AS DATE) AS created_date, s.resolution_days,
+    coalesce(t.target_days, 14) AS sla_target_days,
+    s.resolution_days - coalesce(t.target_days, 14) AS days_over_sla,
+    coalesce(s.resolution_days > coalesce(t.target_days, 14), false) AS is_breached,
+    CASE WHEN t.target_days IS NULL THEN 'default' ELSE t.sla_target_source END AS sla_target_source,
+    CASE WHEN s.closed_date IS NOT NULL THEN (SELECT count(*) FROM dim_date d WHERE d.is_business_day
+      AND d.date_day > CAST(s.created_date AS DATE) AND d.date_day <= CAST(s.closed_date AS DATE)) END
+      AS business_days
+  FROM stg s LEFT JOIN targets t USING (sr_type)
+  WHERE s.current_status = 'Completed' AND NOT coalesce(s.duplicate, false))""".replace(
+    "KEY_TYPE", key_of("s.sr_type")).replace("KEY_DEPARTMENT", key_of("s.owner_department"))
+
+
+def _documented(b: Bed) -> DataFrame:
+    return documented.sla_fact(b.stg, b.dims)
+
+
+@query(f"{_DOCUMENTED} SELECT * FROM dsla")
+def x03_documented_sla(b: Bed) -> DataFrame:
+    return _documented(b).drop("closed_timestamp")
+
+
+@query("""SELECT s.service_request_number, coalesce(s.duplicate, false) AS is_duplicate,
+    coalesce(s.days_open > coalesce(t.target_days, 14), false) AS sla_at_risk
+  FROM stg s LEFT JOIN targets t USING (sr_type)""")
+def x04_documented_requests(b: Bed) -> DataFrame:
+    return documented.request_fact(b.stg, b.dims).select(
+        "service_request_number", "is_duplicate", "sla_at_risk")
+
+
+@query(f"{_DOCUMENTED}, {PERIOD.replace('FROM sla', 'FROM dsla')} SELECT * FROM pe")
+def x08_documented_equity(b: Bed) -> DataFrame:
+    return rules.period_equity(_documented(b))
+
+
+@query(f"""{_DOCUMENTED}, m AS (SELECT CAST(date_trunc('month', closed_date) AS DATE) AS period_month,
+      count(*) AS completed, count(*) FILTER (NOT is_breached) AS met
+    FROM dsla WHERE closed_date IS NOT NULL GROUP BY ALL)
+  SELECT m.*, m.met / m.completed AS compliance_rate,
+    p.met / p.completed AS prior_compliance_rate,
+    m.met / m.completed - p.met / p.completed AS compliance_change
+  FROM m LEFT JOIN m p ON p.period_month = m.period_month - INTERVAL 1 MONTH""")
+def x10_documented_compliance(b: Bed) -> DataFrame:
+    return rules.compliance_by_month(_documented(b))
+
+
+@query(f"""{_DOCUMENTED} SELECT year(closed_date) AS closed_year, department_name, request_type_name,
+    CASE GROUPING(department_name) * 2 + GROUPING(request_type_name)
+      WHEN 3 THEN 'year' WHEN 1 THEN 'department' ELSE 'type' END AS audit_level,
+    count(*) AS completed, count(*) FILTER (is_breached) AS breached,
+    (count(*) - count(*) FILTER (is_breached)) / count(*) AS compliance_rate,
+    CAST(sum(resolution_days) AS DOUBLE) / count(*) AS avg_resolution_days
+  FROM dsla LEFT JOIN dim_department USING (department_id)
+  LEFT JOIN dim_request_type USING (request_type_id) WHERE closed_date IS NOT NULL
+  GROUP BY GROUPING SETS ((year(closed_date)), (year(closed_date), department_name),
+    (year(closed_date), department_name, request_type_name))""")
+def x10_documented_audit(b: Bed) -> DataFrame:
+    return rules.annual_audit(_documented(b), b.dims.department, b.dims.request_type)
+
+
 @query("""SELECT department_name, count(*) FILTER (triage_status = '1 - Overdue') AS overdue
   FROM ops GROUP BY ALL""")
 def x09_overdue_by_department(b: Bed) -> DataFrame:
@@ -235,6 +301,61 @@ def x11_history(b: Bed) -> DataFrame:
     return rules.scd2(b.events, ["user_id"], ["event_type"], "ts", "event_id", bucket="day")
 
 
+#: Departments under codes, renamed in the course of 1996: both names are in use for two months, the
+#: furniture one goes back to its old name in 1997.
+_RENAMED = """r AS (SELECT stg.*, CASE
+      WHEN owner_department = 'FURNITURE' AND created_date >= TIMESTAMP '1997-05-01' THEN 'Old'
+      WHEN created_date >= TIMESTAMP '1996-08-01' THEN 'New'
+      WHEN created_date >= TIMESTAMP '1996-06-01'
+        AND CAST(substr(service_request_number, 3) AS BIGINT) % 3 = 0 THEN 'New' ELSE 'Old' END AS era
+    FROM stg),
+  named AS (SELECT * REPLACE (owner_department || ' - ' || era AS owner_department),
+      owner_department AS code FROM r),
+  daily AS (SELECT code, day, owner_department AS name FROM (
+      SELECT *, row_number() OVER (PARTITION BY code, day ORDER BY n DESC, owner_department) AS rn FROM (
+        SELECT code, CAST(created_date AS DATE) AS day, owner_department, count(*) AS n
+        FROM named GROUP BY ALL)) WHERE rn = 1),
+  changed AS (SELECT * FROM (SELECT *, lag(name) OVER (PARTITION BY code ORDER BY day) AS before FROM daily)
+    WHERE before IS DISTINCT FROM name),
+  seed(raw_department_name, display_name, bureau) AS (
+    VALUES ('FURNITURE - New', 'Furnishings', 'Homes'), ('BUILDING - Old', 'Buildings', 'Works')),
+  periods AS (SELECT code AS department_code, name AS raw_department_name, day AS valid_from,
+      lead(day) OVER (PARTITION BY code ORDER BY day) AS valid_to FROM changed),
+  history AS (SELECT KEY AS department_version_id, p.department_code, p.raw_department_name,
+      coalesce(seed.display_name, p.raw_department_name) AS department_name, seed.bureau, p.valid_from,
+      p.valid_to, p.valid_to IS NULL AS is_current FROM periods p LEFT JOIN seed USING (raw_department_name))
+  """.replace("KEY", key_of("p.department_code || '|' || CAST(p.valid_from AS VARCHAR)"))
+_RENAMES = [("FURNITURE - New", "Furnishings", "Homes"), ("BUILDING - Old", "Buildings", "Works")]
+
+
+def _renamed(b: Bed) -> tuple[DataFrame, DataFrame]:
+    """The staged tickets under those names, and the department history that they give."""
+    created, name = F.col("created_date"), F.col("owner_department")
+    third = F.substring(S.KEY, 3, 9).cast("bigint") % 3 == 0
+    era = (F.when((name == "FURNITURE") & (created >= "1997-05-01T00:00:00"), "Old")
+           .when((created >= "1996-08-01T00:00:00") | ((created >= "1996-06-01T00:00:00") & third), "New")
+           .otherwise("Old"))
+    named = b.stg.withColumn("owner_department", F.concat_ws(" - ", name, era))
+    return named, history.department_history(named, b.rows(_RENAMES, S.DEPARTMENTS_SCHEMA))
+
+
+@query(f"{_RENAMED} SELECT * FROM history")
+def x11_department_history(b: Bed) -> DataFrame:
+    return _renamed(b)[1]
+
+
+@query(f"""{_RENAMED} SELECT n.service_request_number, n.owner_department, n.code AS department_code,
+    h.department_version_id, h.department_name, h.bureau
+  FROM named n LEFT JOIN history h ON h.department_code = n.code
+    AND h.valid_from <= CAST(n.created_date AS DATE)
+    AND (h.valid_to IS NULL OR CAST(n.created_date AS DATE) < h.valid_to)""")
+def x11_ticket_departments(b: Bed) -> DataFrame:
+    """Every ticket with the name its department had when it was created."""
+    tickets, versions = _renamed(b)
+    return history.with_department_version(tickets, versions).select(
+        S.KEY, "owner_department", "department_code", *history.VERSION_COLUMNS)
+
+
 @query("""SELECT status_id, status_name,
     CASE status_name WHEN 'Completed' THEN 'Resolved' WHEN 'Open' THEN 'Open'
       WHEN 'Completed - Dup' THEN 'Resolved (duplicate)' WHEN 'Open - Dup'
