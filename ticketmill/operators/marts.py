@@ -48,13 +48,6 @@ def mart_operational(fct: DataFrame, geography: DataFrame, request_type: DataFra
     )
 
 
-def citywide_baseline(sla: DataFrame) -> DataFrame:
-    return sla.groupBy("request_type_id").agg(
-        F.avg("resolution_days").alias("citywide_avg_resolution_days"),
-        F.count("service_request_number").alias("citywide_total_requests"),
-    )
-
-
 def area_performance(sla: DataFrame) -> DataFrame:
     """Sums rather than averages, so that coarser levels can be built from these rows."""
     return sla.groupBy("community_area_id", "request_type_id", "department_id").agg(

@@ -196,16 +196,16 @@ def q24_heatmap(b: Bed) -> DataFrame:
     return equity.heatmap(b.perf)
 
 
-@query("""SELECT community_area_name,
-    round(sum(equity_index * area_total_requests) FILTER (request_type_name = '1-URGENT')
-      / sum(area_total_requests) FILTER (request_type_name = '1-URGENT'
-          AND equity_index IS NOT NULL), 2) AS "1-URGENT",
-    round(sum(equity_index * area_total_requests) FILTER (request_type_name = '5-LOW')
-      / sum(area_total_requests) FILTER (request_type_name = '5-LOW'
-          AND equity_index IS NOT NULL), 2) AS "5-LOW"
-  FROM perf GROUP BY ALL""")
+#: The request types of the sample.
+GRID_TYPES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@query("SELECT community_area_name, " + ", ".join(f"""
+    round(sum(equity_index * area_total_requests) FILTER (request_type_name = '{t}')
+      / sum(area_total_requests) FILTER (request_type_name = '{t}'
+          AND equity_index IS NOT NULL), 2) AS "{t}\"""" for t in GRID_TYPES) + " FROM perf GROUP BY ALL")
 def q24_heatmap_grid(b: Bed) -> DataFrame:
-    return equity.heatmap_grid(b.perf, ["1-URGENT", "5-LOW"])
+    return equity.heatmap_grid(b.perf, GRID_TYPES)
 
 
 @query(f"SELECT department_name, {PCT} AS breach_rate FROM perf GROUP BY ALL")

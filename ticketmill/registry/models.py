@@ -67,14 +67,24 @@ def d01_date_spine(b: Bed) -> DataFrame:
     return dims.date_spine(b.bounds)
 
 
-@query("""SELECT CAST(ts AS DATE) AS holiday_date, count(*) AS event_count FROM events
-  WHERE CAST(ts AS DATE) IN (DATE '2024-01-01', DATE '2024-01-15', DATE '2024-02-12')
-  GROUP BY ALL""")
+@query("""days AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY))
+      AS DATE) AS d),
+  parts AS (SELECT d, month(d) AS m, day(d) AS n, isodow(d) AS w FROM days),
+  holidays AS (SELECT d AS holiday_date FROM parts WHERE (m, n) IN ((1, 1), (2, 12), (6, 19), (11, 11), (12, 25))
+    OR (m = 7 AND ((n = 4 AND w <> 6) OR (n = 3 AND w = 5)))
+    OR (w = 1 AND ((m IN (1, 2) AND n BETWEEN 15 AND 21) OR (m IN (3, 9) AND n <= 7)
+      OR (m = 5 AND n >= 25) OR (m = 10 AND n BETWEEN 8 AND 14)))
+    OR (m = 11 AND ((w = 2 AND n BETWEEN 2 AND 8 AND year(d) % 2 = 0)
+      OR (w = 4 AND n BETWEEN 22 AND 28) OR (w = 5 AND n BETWEEN 23 AND 29))))
+  SELECT holiday_date, count(n) AS tickets FROM holidays
+  LEFT JOIN log ON CAST(created_date + INTERVAL 32 YEAR AS DATE) = holiday_date GROUP BY ALL""")
 def d02_holidays(b: Bed) -> DataFrame:
-    """Events per state holiday; events are counted per day before the lookup."""
-    per_day = b.events.groupBy(F.to_date("ts").alias("holiday_date")).agg(
-        F.count(F.lit(1)).alias("event_count"))
-    return per_day.join(F.broadcast(dims.holidays(b.spark)), "holiday_date")
+    """Tickets per state holiday, those of 32 years before standing for the calendar's years;
+    tickets are counted per day before the lookup."""
+    day = F.to_date(F.col("created_date") + F.expr("interval 32 years")).alias("holiday_date")
+    per_day = b.log.groupBy(day).agg(F.count(F.lit(1)).alias("tickets"))
+    return dims.holidays(b.spark).join(per_day, "holiday_date", "left").select(
+        "holiday_date", F.coalesce("tickets", F.lit(0)).alias("tickets"))
 
 
 @query(f"SELECT {CALENDAR} FROM dim_date")
@@ -312,9 +322,11 @@ def m05_mart_operational(b: Bed) -> DataFrame:
 
 
 @query("""SELECT request_type_id, citywide_avg_resolution_days, citywide_total_requests
-  FROM city""")
+  FROM city WHERE request_type_id IS NOT NULL""")
 def m06_citywide(b: Bed) -> DataFrame:
-    return marts.citywide_baseline(b.sla)
+    """The baseline that every row of the equity mart of a type carries."""
+    return marts.equity(b.sla, min_requests=0).select(
+        "request_type_id", "citywide_avg_resolution_days", "citywide_total_requests").distinct()
 
 
 @query("""SELECT community_area_id, request_type_id, department_id, area_avg_resolution_days,
