@@ -13,6 +13,7 @@ from __future__ import annotations
 import json
 import os
 import time
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -58,27 +59,54 @@ def scaled_log(log: DataFrame, copies: int) -> DataFrame:
         S.KEY, F.concat(S.KEY, F.lit("-"), F.col("_copy").cast("string"))).drop("_copy")
 
 
-def scale_up(b, out: dict) -> int:
-    """Ticket table, model build and a daily merge at the size of the published main table."""
+def scaled_raw(raw: DataFrame, copies: int) -> DataFrame:
+    """The landed records several times over, each copy with keys of its own."""
+    key = F.concat(F.trim("sr_number"), F.lit("-"), F.col("_copy").cast("string"))
+    return raw.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).withColumn(
+        "sr_number", F.when(F.trim("sr_number") != "", key)).drop("_copy")
+
+
+def scale_up(b, out: dict) -> dict:
+    """Ticket table, model builds, merges and a load at the size of the published main table."""
     spark, lake = b.spark, b.lake()
     loads.ensure_tables(spark, lake)
     big = scaled_log(b.log, COPIES)
     timed(out, "scale_write_main", lambda: table.overwrite(spark, lake.main, big))
     tickets = table.read(spark, lake.main)
     root = b.scratch("warehouse")
-    timed(out, "scale_build_models", lambda: build.build_models(
-        spark, root, tickets, b.seeds, AS_OF, b.bounds, b.holidays))
+
+    def build_all():
+        return build.build_models(spark, root, lake.main, b.seeds, AS_OF, b.bounds, b.holidays)
+
+    timed(out, "scale_build_models", build_all)
     fct = table.read(spark, f"{root}/fct_service_requests")
     timed(out, "scale_scan_fact", lambda: drain(fct))
     timed(out, "scale_mart_operational", lambda: drain(spark.table("mart_operational")))
     modified = F.col(S.VERSION)
-    day = tickets.where((modified >= "2000-06-14") & (modified < "2000-06-15")).withColumn(
-        S.VERSION, modified + F.expr("interval 1 hour"))
-    table.overwrite(spark, lake.staging, day)
-    staged = table.read(spark, lake.staging)
+
+    def newer(rows: DataFrame) -> DataFrame:
+        table.overwrite(spark, lake.staging, rows.withColumn(S.VERSION, modified + F.expr("interval 1 hour")))
+        return table.read(spark, lake.staging)
+
+    staged = newer(tickets.where((modified >= "2000-06-14") & (modified < "2000-06-15")))
     timed(out, "scale_daily_merge", lambda: (
         wap.audit(staged).first(), merge_into(spark, lake.main, staged)))
-    return tickets.count()
+    timed(out, "scale_rebuild_after_day", build_all)
+    # a change in every month: one ticket in ten thousand
+    before = table.snapshot(spark, lake.main)
+    staged = newer(tickets.where(F.xxhash64(S.KEY) % 10_000 == 0))
+    timed(out, "scale_spread_merge", lambda: merge_into(spark, lake.main, staged))
+    after = table.snapshot(spark, lake.main)
+    sizes = [{(p, x): table.stored_bytes(spark, lake.main, replace(s, parts={p: [x]}), [p])
+              for p, batches in s.parts.items() for x in batches} for s in (before, after)]
+    kept = sum(n for entry, n in sizes[1].items() if entry in sizes[0])
+    loading = b.lake()
+    timed(out, "scale_load", lambda: loads.backfill(
+        spark, loading, scaled_raw(b.raw, COPIES), date(1995, 1, 1), date(2002, 1, 1)))
+    rows = tickets.count()
+    return {"scale_tickets": rows, "scale": out,
+            "scale_load_rows_per_sec": round(table.read(spark, loading.main).count() / out["scale_load"]),
+            "scale_spread_merge_rewritten": round(1 - kept / sum(sizes[0].values()), 3)}
 
 
 def main() -> None:
@@ -111,9 +139,7 @@ def main() -> None:
         "spark": spark.version,
     }
     if COPIES:
-        scaled: dict[str, float] = {}
-        doc["scale_tickets"] = scale_up(b, scaled)
-        doc["scale"] = scaled
+        doc |= scale_up(b, {})
     print(json.dumps(doc))
 
 
