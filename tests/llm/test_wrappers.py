@@ -11,9 +11,9 @@ SHELL = ("<!DOCTYPE html><html><head><title>T {n}</title><script>var a='<p>no</p
          "<div class='cookie-notice'>We use cookies</div>{body}<aside>More news</aside>"
          "<form><input><button>Go</button>Your mail</form><footer>&copy; site</footer></body></html>")
 ARTICLE = ("<article><h1>Title &amp; {n}</h1><p>First  <b>bold</b>\n text&nbsp;{n}</p><div class='ad'>Buy</div>"
-           "<p>Second<br>line<p>Third &lt;tag&gt; &#233;</p><ul><li>one</li><li>two</li></ul>"
+           "<p>Second<br>line {n}<p>Third &lt;tag&gt; &#233; {n}</p><ul><li>one {n}</li><li>two {n}</li></ul>"
            "<section class='comments'><p>Great post!</p></section></article>")
-WANT = "Title & {n}\nFirst bold text {n}\nSecond line\nThird <tag> é\none\ntwo"
+WANT = "Title & {n}\nFirst bold text {n}\nSecond line {n}\nThird <tag> é {n}\none {n}\ntwo {n}"
 
 
 def pages_frame(spark, rows):
@@ -79,3 +79,80 @@ def test_names_are_hints_only():
     for name in ("ad", "ad-slot", "adBox", "cookie-notice", "comments", "comment-list", "ad ad-3"):
         page = f"<article>{story}<div class='{name}'>Buy</div></article>"
         assert wrappers.main_text(page, "article") == want, name
+
+
+def texts_of(spark, pages):
+    rows = [(n, f"https://h.example/{n}", page) for n, page in enumerate(pages)]
+    return {r["page_id"]: r["text"] for r in rows_of(wrappers.extract(pages_frame(spark, rows)))}
+
+
+def story(n, words=30):
+    return " ".join(f"w{n * 1000 + k}" for k in range(words))
+
+
+def test_every_template_of_a_host_has_its_own_wrapper(spark):
+    posts = [f"<body><h2>Site</h2><article class='post post-{n}'><h1>T{n}</h1><p>{story(n)}</p></article></body>" for n in range(8)]
+    docs = [f"<body><h2>Site</h2><main><p>{story(100 + n)}</p><p>{story(200 + n)}</p></main>"
+            f"<article class='post'>teaser only</article></body>" for n in range(3)]
+    split = [f"<body><article class='lead'>Lead {n}</article><div>x</div><article class='body'><p>{story(300 + n)}</p></article></body>"
+             for n in range(5)]
+    plain = [f"<body><div class='wrap'><div class='t'><p>{story(400 + n)}</p></div><div>Site text</div></div></body>" for n in range(5)]
+    got = texts_of(spark, [*posts, *docs, *split, *plain])
+    for n in range(8):
+        assert got[n] == f"T{n}\n{story(n)}"
+    for n in range(3):
+        assert got[8 + n] == f"{story(100 + n)}\n{story(200 + n)}"
+    for n in range(5):
+        assert got[11 + n] == f"Lead {n}\n{story(300 + n)}" and got[16 + n] == story(400 + n)
+
+
+def test_fixed_text_of_the_host_goes_and_copies_stay(spark):
+    frame = "<article><p>Filed under News.</p><p>{}</p><p>Again {}</p><div>Read next: the other one</div></article>"
+    pages = [frame.format(story(n), n % 3) for n in range(10)]
+    # the same page under many urls is one page, and a copy with another menu keeps its text
+    pages += [frame.format(story(50), 7)] * 30 + [f"<nav>{n}</nav><article><p>{story(60)}</p></article>" for n in range(2)]
+    got = texts_of(spark, pages)
+    for n in range(10):
+        assert got[n] == f"{story(n)}\nAgain {n % 3}"
+    assert got[20] == f"{story(50)}\nAgain 7" and got[41] == story(60)
+    copies = [f"<nav>menu {n}</nav><article><h1>One</h1><p>{story(70)}</p></article>" for n in range(9)]
+    assert set(texts_of(spark, copies).values()) == {f"One\n{story(70)}"}
+    few = [f"<article><p>Filed under News.</p><p>{story(n)}</p></article>" for n in range(3)]  # too few to tell
+    assert texts_of(spark, few)[0] == f"Filed under News.\n{story(0)}"
+
+
+def test_reader_comments_go():
+    for name in ("user-comments", "reader-responses", "discussion", "disqus_thread", "commentList", "post-replies"):
+        for attribute in ("class", "id"):
+            page = f"<article><p>{story(1)}</p><div {attribute}='{name}'><p>So true!</p></div></article>"
+            assert wrappers.main_text(page) == story(1), name
+
+
+def test_wrappers_come_back_from_rows_and_align_in_any_grouping():
+    pages = [f"<body><article><h1>{n}</h1>{'<p>a b</p>' * (n % 4)}<ul>{'<li>x</li>' * n}</ul>"
+             f"{'<table><tr><td>1' * (n % 2)}</article><p>Foot</p></body>" for n in range(6)]
+    one = wrappers.infer(pages)
+    assert wrappers._tree(wrappers._rows(one)).pattern() == one.pattern()
+    fixed = {m for p in pages for m in wrappers.text_marks(wrappers.parse(p)) if sum(
+        m in wrappers.text_marks(wrappers.parse(q)) for q in pages) == 6}
+    trees = [wrappers.as_wrapper(wrappers.parse(p), fixed) for p in pages]
+    left = wrappers.align(wrappers.align(trees[0], trees[1]), trees[2])
+    right = wrappers.align(wrappers.align(trees[3], trees[4]), trees[5])
+    both = wrappers.align(left, right)
+    assert both.pages == 6 and [n.path for n in wrappers.region(both)] == [n.path for n in wrappers.region(one)]
+    assert len(wrappers.fixed_marks(both)) == 1  # the foot
+
+
+def test_templates_by_named_elements(spark):
+    pages = ["<body><MAIN ><article id=1 class='post-12 x'>", "<article class=post-7><main>", "<p>none", None,
+             "<article data-x='1'><articles>"]
+    frame = pages_frame(spark, [(n, "u", p) for n, p in enumerate(pages)])
+    got = {r["page_id"]: r["template"] for r in wrappers.host(frame).collect()}
+    assert got == {0: "article.post-0 main", 1: "article.post-0 main", 2: "", 3: "", 4: "article"}
+
+
+def test_very_deep_and_very_long_pages(spark):
+    deep = "<div>" * 40_000 + f"<p>{story(1)}</p>" + "</div>" * 40_000
+    long = "<article>" + "".join(f"<p>{story(n)}</p>" for n in range(3000)) + "</article>"
+    got = texts_of(spark, [deep, long])
+    assert got[0] == story(1) and got[1] == "\n".join(story(n) for n in range(3000))
