@@ -67,21 +67,27 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, U64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
+#: Primes below 2 ** 31: products of residues fit into 64 bits, and so do sums of 2 ** 33 of them.
+PRIMES = (2147483647, 2147483629)
 
 
-def powers(n: int, base: int) -> np.ndarray:
-    """base ** i mod 2 ** 64 for i < n."""
-    return _powers(max(1 << 16, 1 << (n - 1).bit_length() if n else 1), base)[:n]
+@lru_cache(maxsize=16)
+def _powers(n: int, base: int, prime: int) -> np.ndarray:
+    out = np.ones(1, U64)
+    while len(out) < n:
+        out = np.concatenate([out, out * U64(pow(base, len(out), prime)) % U64(prime)])
+    return out[:n]
 
 
-@lru_cache(maxsize=4)
-def byte_codes(seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(1, 2**63, 256, np.uint64) | U64(1)
+def powers(n: int, base: int, prime: int) -> np.ndarray:
+    """base ** i modulo ``prime`` for i < n."""
+    return _powers(max(1 << 16, 1 << (n - 1).bit_length() if n else 1), base, prime)[:n]
+
+
+@lru_cache(maxsize=8)
+def byte_codes(seed: int, prime: int) -> np.ndarray:
+    """A residue for each byte, and after them a base."""
+    return np.random.default_rng(seed).integers(1 << 16, prime, 257, np.uint64)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -94,16 +100,23 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Hashes of any byte ranges of one buffer, from sums of bytes times powers of a base."""
+    """Hashes of any byte ranges of one buffer, from sums of bytes times powers of a base, modulo
+    two primes: texts made to collide for any base modulo a power of two do not."""
 
     def __init__(self, raw: np.ndarray, seed: int = 1):
-        base = int(byte_codes(seed + 100)[7]) | 1
-        self.sums = np.zeros(len(raw) + 1, U64)
-        np.cumsum(byte_codes(seed)[raw] * powers(len(raw), base), out=self.sums[1:])
-        self.unshift = powers(len(raw) + 1, pow(base, -1, 2**64))
+        self.parts = []
+        for prime in PRIMES:
+            *codes, base = byte_codes(seed, prime)
+            sums = np.zeros(len(raw) + 1, U64)
+            terms = np.array(codes, U64)[raw] * powers(len(raw), int(base), prime)
+            np.cumsum(terms % U64(prime), out=sums[1:])
+            unshift = powers(len(raw) + 1, pow(int(base), -1, prime), prime)
+            self.parts.append((sums, unshift, U64(prime)))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self.sums[end] - self.sums[start]) * self.unshift[start]
+        h = np.zeros(len(start), U64)
+        for sums, unshift, prime in self.parts:
+            h = (h << U64(31)) | ((sums[end] - sums[start]) % prime * unshift[start] % prime)
         return mixed(h + (end - start).astype(U64) * BASE)
 
 
