@@ -16,6 +16,7 @@ import re
 import sys
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 from hashlib import blake2b
 from zlib import crc32
 
@@ -71,16 +72,18 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 class Element:
     """A block element; ``parts`` holds text pieces (with whether linked) and elements.
-    ``hinted``: only its class or id sets it aside. ``path`` stands for the labels down to it."""
+    ``hinted``: only its class or id sets it aside. ``path`` stands for the labels down to it;
+    ``headed``: it stands inside an article or main element."""
 
-    __slots__ = ("tag", "label", "aside", "hinted", "parts", "path")
+    __slots__ = ("tag", "label", "aside", "hinted", "parts", "path", "headed")
 
     def __init__(self, tag: str, label: str, aside: bool, hinted: bool = False):
         self.tag, self.label, self.aside, self.hinted, self.parts = tag, label, aside, hinted, []
-        self.path = 0
+        self.path, self.headed = 0, False
 
     def add(self, made: Element) -> None:
-        made.path = _mark(self.path, made.label)
+        made.path = _below(self.path, made.label)
+        made.headed = self.headed or self.tag in ("article", "main")
         self.parts.append(made)
 
 
@@ -90,6 +93,13 @@ def _mark(path: int, text: str) -> int:
                                   key=path.to_bytes(8, "little", signed=True)).digest(), "little", signed=True)
 
 
+@lru_cache(maxsize=1 << 16)
+def _below(path: int, label: str) -> int:
+    """The path of an element of that label; the pages of a template share nearly all of theirs."""
+    return _mark(path, label)
+
+
+@lru_cache(maxsize=1 << 12)
 def _aside_name(name: str) -> bool:
     """Whether a class or id says so: by one strong word, or because all its words are such names
     or neutral ones."""
@@ -132,7 +142,7 @@ def parse(page: str) -> Element:
     """The blocks of a page. Inline elements only carry their text; a block ends an open
     paragraph, and end tags without a start are passed over."""
     root = Element("#root", "#root", False)
-    stack, links, at = [root], 0, 0
+    stack, links, at, any_hinted = [root], 0, 0, False
 
     def text(piece: str) -> None:
         if piece:
@@ -168,15 +178,17 @@ def parse(page: str) -> Element:
                 stack.pop()
             links = 0
             made = _element(tag, hit[3])
-            headed = any(e.tag in ("article", "main") for e in stack)
+            headed = stack[-1].headed or stack[-1].tag in ("article", "main")
             if tag == "header" and not headed:
                 made.aside, made.hinted = True, False
             elif made.hinted and headed and made.label.endswith(".header"):
                 made.aside = made.hinted = False
+            any_hinted = any_hinted or made.hinted
             stack[-1].add(made)
             stack.append(made)
     text(page[at:])
-    _keep_full(root)
+    if any_hinted:
+        _keep_full(root)
     return root
 
 
@@ -277,7 +289,7 @@ def as_wrapper(element: Element, fixed: frozenset[int] | set[int] = frozenset())
     def end() -> None:
         words = " ".join("".join(piece for piece, _ in run).split())
         if words:
-            known = _mark(element.path, words) in fixed
+            known = bool(fixed) and _mark(element.path, words) in fixed
             made.append(Node("#", element.path, words if known else None).close())
             if not known:
                 made[-1].chars = sum(len("".join(piece.split())) for piece, linked in run if not linked)
@@ -317,6 +329,9 @@ def align(a: Node, b: Node) -> Node:
     node.optional, node.repeated = a.optional or b.optional, a.repeated or b.repeated
     made: list[Node] = []
     keys = [n.key for n in a.children], [n.key for n in b.children]
+    if keys[0] == keys[1]:  # as most do
+        node.children = [align(x, y) for x, y in zip(a.children, b.children)]
+        return node.close()
     for kind, i, i_end, j, j_end in SequenceMatcher(None, *keys, False).get_opcodes():
         left, right = a.children[i:i_end], b.children[j:j_end]
         if kind == "equal":
@@ -411,15 +426,18 @@ def main_text(page: str, label: str | None = None, paths: list[int] | None = Non
     wanted = frozenset(paths or ())
     found = outermost(root, lambda e: e.label == label or e.path in wanted)
 
-    def size(elements: list[Element]) -> int:
-        return sum(len(text) for e in elements for _, text in blocks(e))
+    def inside(elements: list[Element]) -> tuple[list[tuple[int, str]], int]:
+        made = [b for e in elements for b in blocks(e)]
+        return made, sum(len(text) for _, text in made)
 
-    if not size(found) or not label and 10 * size(found) < 3 * size([root]):
+    texts, size = inside(found)
+    if not size or not label and 10 * size < 3 * inside([root])[1]:
         own = frozenset(n.path for n in region(as_wrapper(root)))
-        found = outermost(root, lambda e: e.path in own)
-    texts = [b for e in found for b in blocks(e)]
+        texts, size = inside(outermost(root, lambda e: e.path in own))
+    if not fixed:
+        return "\n".join(t for _, t in texts)
     kept = [t for path, t in texts if _mark(path, t) not in fixed]
-    if 2 * sum(map(len, kept)) <= sum(len(t) for _, t in texts):
+    if 2 * sum(map(len, kept)) <= size:
         kept = [t for _, t in texts]
     return "\n".join(kept)
 
