@@ -71,17 +71,21 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 PRIMES = (2147483647, 2147483629)
 
 
-@lru_cache(maxsize=16)
-def _powers(n: int, base: int, prime: int) -> np.ndarray:
-    out = np.ones(1, U64)
-    while len(out) < n:
-        out = np.concatenate([out, out * U64(pow(base, len(out), prime)) % U64(prime)])
-    return out[:n]
+#: The longest powers so far of a base and a prime, 4 bytes each.
+_powers: dict[tuple[int, int], np.ndarray] = {}
+#: Longer ones are not kept: they serve a single long text.
+KEPT = 1 << 22
 
 
 def powers(n: int, base: int, prime: int) -> np.ndarray:
     """base ** i modulo ``prime`` for i < n."""
-    return _powers(max(1 << 16, 1 << (n - 1).bit_length() if n else 1), base, prime)[:n]
+    out = _powers.get((base, prime), np.ones(1, np.uint32))
+    while len(out) < n:
+        step = U64(pow(base, len(out), prime))
+        out = np.concatenate([out, (out.astype(U64) * step % U64(prime)).astype(np.uint32)])
+    if len(out) <= KEPT:
+        _powers[base, prime] = out
+    return out[:n]
 
 
 @lru_cache(maxsize=8)
