@@ -4,6 +4,7 @@ from datetime import datetime
 
 import pytest
 from helpers import as_dicts, column, raw, raw_row
+from pyspark.sql import functions as F
 
 from ticketmill import schemas as S
 from ticketmill.functions import text
@@ -114,3 +115,16 @@ def test_pages_leave_out_nulls_and_drop_unknown_fields(spark, tmp_path):
     rows = as_dicts(pages.read_raw_pages(spark, path), "sr_number", "created_date", "ward")
     assert sorted(r["sr_number"] for r in rows) == ["SR1", "SR2"]
     assert "mood" not in pages.read_raw_pages(spark, path).columns
+
+
+def test_landed_pages_take_few_bytes_and_stay_short(spark, tmp_path):
+    rows = raw(spark, *[raw_row(f"SR{i}", f"2026-01-{i % 28 + 1:02d}T10:30:00.000", ward=str(i % 50), status="Open")
+                        for i in range(5000)], raw_row(None, "", status='a "b"\n\u2003'), raw_row("\tSR1\u2003"))
+    path = tmp_path / "pages"
+    pages.write_raw_pages(rows, str(path), page_rows=1000)
+    files = [f for f in path.iterdir() if f.name.startswith("part-")]
+    landed = pages.read_raw_pages(spark, str(path))
+    assert sorted(landed.collect(), key=str) == sorted(rows.collect(), key=str)
+    assert max(column(landed.groupBy(F.input_file_name()).count(), "count")) <= 1000
+    text_bytes = sum(len(t) for t in column(landed.select(F.to_json(F.struct("*")).alias("t")), "t"))
+    assert sum(f.stat().st_size for f in files) < text_bytes / 4

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from ticketmill import registry
 from ticketmill.operators import facts, marts, wap
 from ticketmill.operators.joins import sized
+from ticketmill.samples import Bed
+from ticketmill.sources import table
 
 # Queries that only describe a plan when called; the others load tables first.
 LAZY = [n for n in registry.load() if n[0] in "tdfmqvx" and n not in (
@@ -90,3 +92,42 @@ def test_merge_keeps_one_row_per_key(spark):
                               for i in range(60)])
     merged = wap.merge(target, wap.latest_wins(source))
     assert merged.count() == 50 and merged.where("action = 'update'").count() == 1
+
+
+#: Queries that land pages, and the bytes a ticket may leave in the shared folder with them: page
+#: text alone has some 500.
+STORED = {"w08_yearly_load": 200}
+
+
+@pytest.fixture(scope="module")
+def quarter(spark, tmp_path_factory):
+    """Beds over one and two times 20,000 orders of a quarter of 1997."""
+    made = []
+    for n in (20_000, 40_000):
+        folder = tmp_path_factory.mktemp("orders")
+        k = F.col("id")
+        spark.range(n).select(
+            k.alias("o_orderkey"), (k % 997).alias("o_custkey"),
+            F.element_at(F.array(*map(F.lit, "FOP")), (k % 3 + 1).cast("int")).alias("o_orderstatus"),
+            F.date_add(F.lit("1997-01-01").cast("date"), (F.xxhash64("id") % 45 + 45).cast("int"))
+            .cast("timestamp_ntz").alias("o_orderdate"),
+            F.element_at(F.array(*map(F.lit, ("1-URGENT", "2-HIGH", "5-LOW"))), (F.xxhash64("id") % 2 + 2).cast("int"))
+            .alias("o_orderpriority")).write.parquet(f"{folder}/orders.parquet")
+        spark.range(997).select(
+            k.alias("c_custkey"), (k % 25).cast("int").alias("c_nationkey"),
+            F.concat(F.lit("S"), (k % 5).cast("string")).alias("c_mktsegment")).write.parquet(f"{folder}/customer.parquet")
+        made.append((n, str(folder)))
+    return made
+
+
+@pytest.mark.parametrize("name", STORED)
+def test_stored_bytes_per_ticket(spark, quarter, name):
+    used = []
+    for n, folder in quarter:
+        own = Bed(spark, folder)
+        kept = registry.load()[name].run(own)
+        assert kept.count() >= n
+        fs, root = table._fs(spark, own.root)
+        used.append(fs.getContentSummary(root).getLength())
+        assert used[-1] < STORED[name] * n
+    assert used[1] < 2.2 * used[0]

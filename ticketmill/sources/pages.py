@@ -21,8 +21,12 @@ def read_raw_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def write_raw_pages(raw: DataFrame, path: str, page_rows: int = 50_000) -> None:
-    """Land records as JSON-lines files of at most ``page_rows`` rows; nulls are left out."""
-    raw.write.option("maxRecordsPerFile", page_rows).json(path)
+    """Land records as gzipped JSON-lines files of at most ``page_rows`` rows; nulls are left out.
+
+    The text repeats every field's name and most of its values in each record, so it is the bulk of
+    what a load writes. A gzipped file is read by one task, which ``page_rows`` bounds.
+    """
+    raw.write.option("maxRecordsPerFile", page_rows).option("compression", "gzip").json(path)
 
 
 def readable(field: str) -> Column:
