@@ -96,7 +96,7 @@ def test_merge_keeps_one_row_per_key(spark):
 
 #: Queries that land pages, and the bytes a ticket may leave in the shared folder with them: page
 #: text alone has some 500.
-STORED = {"w08_yearly_load": 200}
+STORED = {"w08_yearly_load": 200, "p02_closed_date": 100}
 
 
 @pytest.fixture(scope="module")
