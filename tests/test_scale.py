@@ -97,7 +97,7 @@ def test_merge_keeps_one_row_per_key(spark):
 #: Queries that land pages, and the bytes a ticket may leave in the shared folder with them: page
 #: text alone has some 500.
 STORED = {"w08_yearly_load": 200, "p02_closed_date": 100, "p09_key_filter": 100, "p06_booleans": 100,
-          "x05_watermark": 200}
+          "x05_watermark": 200, "w07_chunk_loop": 200}
 
 
 @pytest.fixture(scope="module")
